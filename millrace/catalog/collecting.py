@@ -1,6 +1,7 @@
 """Sources, sinks and collectors."""
 
 from millrace.catalog import sql
+from millrace.catalog.shaping import REPLIES
 from millrace.operators import augmenting, collect, evaluating, splitting
 from millrace.operators.ranking import seeded_sample
 from millrace.session import scratch_dir
@@ -111,3 +112,7 @@ SELECT row_id, 'support' AS domain, 'bitext' AS source, instruction AS ticket,
   response AS resolution FROM support""",
     "united_domains": f"WITH {sql.MIXED} SELECT * FROM mixed",
 }
+ORACLES["train_files_concat"] = f"""WITH {REPLIES}
+SELECT 'support' AS domain, {sql.lit(sql.SUPPORT_INSTRUCTION)} AS instruction, instruction AS input,
+  response AS output FROM support
+UNION ALL SELECT domain, instruction, input, output FROM synthetic"""
