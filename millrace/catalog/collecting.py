@@ -64,9 +64,9 @@ def split_sink(spark, sf_dir):
 
 def report_sink(spark, sf_dir):
     path = scratch_dir(spark, "report")
-    compared = evaluating.compare_by_domain(bindings.results(spark, sf_dir), stem=False)
+    compared = evaluating.compare_by_domain(bindings.results(spark, sf_dir))
     jsonl.write_report(evaluating.report_lines(compared), path)
-    return spark.read.text(path).where("value <> ''").withColumnRenamed("value", "line")
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 def sampled_documents(spark, sf_dir):

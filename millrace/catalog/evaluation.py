@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog import sql
+from millrace.catalog.stem_sql import stem_steps
 from millrace.functions import metrics
 from millrace.functions.text import words
 from millrace.operators import evaluating, perplexity, splitting, voting
@@ -184,6 +185,34 @@ _ASCII = f"""ascii_words AS (
         UNION ALL SELECT row_id, side, false, {sql.ascii_tokens('reference')} FROM long))"""
 
 
+_STEMMED = f"""{_LONG},
+{_ASCII},
+{stem_steps('ascii_words')},
+stemmed_words AS (
+  SELECT row_id, side, is_pred, i, coalesce(stem, word) AS word FROM ascii_words LEFT JOIN stems USING (word)),
+{_lcs('stemmed_words')}"""
+
+_SCORES = f"""{_STEMMED},
+{_F1},
+scores AS (
+  SELECT row_id, domain, side, rouge, f1, (p = r)::INT::DOUBLE AS em
+  FROM long JOIN rouge USING (row_id, side) JOIN f1 USING (row_id, side)),
+means AS (
+  SELECT coalesce(nullif(domain, ''), 'unknown') AS domain, false AS is_total, row_id, side, rouge, f1, em FROM scores
+  UNION ALL SELECT 'ALL', true, row_id, side, rouge, f1, em FROM scores),
+compared AS (
+  SELECT domain, is_total, metric_no, metric, count(*) AS n, min(row_id) AS first_row,
+    avg(base) AS base, avg(finetuned) AS finetuned
+  FROM (
+    SELECT domain, is_total, row_id, unnest([0, 1, 2]) AS metric_no,
+      unnest(['rougeL', 'token_f1', 'exact_match']) AS metric,
+      unnest([max(rouge) FILTER (side = 'base'), max(f1) FILTER (side = 'base'), max(em) FILTER (side = 'base')]) AS base,
+      unnest([max(rouge) FILTER (side = 'finetuned'), max(f1) FILTER (side = 'finetuned'),
+              max(em) FILTER (side = 'finetuned')]) AS finetuned
+    FROM means GROUP BY domain, is_total, row_id)
+  GROUP BY domain, is_total, metric_no, metric)"""
+
+
 def _two_columns(relation: str, value: str, name: str) -> str:
     return f"""SELECT row_id, round(max({value}) FILTER (side = 'base'), 9) AS base_{name},
   round(max({value}) FILTER (side = 'finetuned'), 9) AS finetuned_{name} FROM {relation} GROUP BY row_id"""
@@ -225,6 +254,15 @@ verdicts AS (
          WHEN json_type(body, '$.reason') = 'VARCHAR' THEN body->>'$.reason' END AS reason
   FROM checked)"""
 
+REPORT_LINES = """SELECT false AS part, -1 AS first_row, 0 AS line_no, '# Fine-tuned vs Base Model' || chr(10) AS line
+UNION ALL
+SELECT is_total, first_row, unnest([0, 1, 2, 3]), unnest(['', printf('## %s (n=%d)', domain, n), '',
+  '| Metric | Base | Fine-tuned | Delta |' || chr(10) || '|---|---|---|---|'])
+FROM compared WHERE metric_no = 0
+UNION ALL
+SELECT is_total, first_row, metric_no + 4,
+  printf('| %s | %.3f | %.3f | %+.3f |', metric, base, finetuned, finetuned - base) FROM compared"""
+
 _JUDGE_MEANS = """judged AS (
   SELECT round(avg(score) FILTER (side = 'base'), 9) AS base,
     round(avg(score) FILTER (side = 'finetuned'), 9) AS finetuned,
@@ -259,6 +297,21 @@ FROM documents""",
     "exact_match": f"WITH {_LONG} {_two_columns('long', '(p = r)::INT::DOUBLE', 'exact_match')}",
     "token_f1": f"WITH {_LONG},\n{_F1} {_two_columns('f1', 'f1', 'token_f1')}",
     "rouge_l_plain": f"WITH {_LONG},\n{_ASCII},\n{_lcs('ascii_words')} {_two_columns('rouge', 'rouge', 'rouge_l')}",
+    "rouge_l_stemmed": f"WITH {_STEMMED} {_two_columns('rouge', 'rouge', 'rouge_l')}",
+    "mean_scores": f"""WITH {_SCORES}
+SELECT round(avg(rouge), 9) AS "rougeL", round(avg(f1), 9) AS token_f1, round(avg(em), 9) AS exact_match
+FROM scores WHERE side = 'finetuned'""",
+    "report_by_domain": f"""WITH {_SCORES}
+SELECT domain, is_total, n, metric, round(base, 9) AS base, round(finetuned, 9) AS finetuned,
+  round(finetuned - base, 9) AS delta FROM compared""",
+    "report_lines": f"""WITH {_SCORES},
+{_VERDICTS.removeprefix(sql.SUPPORT + ",")},
+{_JUDGE_MEANS}
+{REPORT_LINES}
+UNION ALL
+SELECT true, NULL, 7, printf('| llm_judge (1-5) | %.2f | %.2f | %+.2f |', base, finetuned, delta) FROM judged""",
+    "report_sink": f"""WITH {_SCORES}
+SELECT unnest(string_split(line, chr(10))) AS line FROM ({REPORT_LINES})""",
     "paired_predictions": f"""WITH {sql.RESULTS}
 SELECT row_id, domain, reference, base_output, finetuned_output FROM results""",
     "first_results": f"""WITH {sql.RESULTS}

@@ -184,7 +184,7 @@ replies AS (
   FROM (SELECT *, to_json(struct_pack(instruction := 'Reply.', input := instruction, output := response)) AS item
         FROM support)),
 items AS (
-  SELECT row_id, domain, unnest(range(len(list))) AS item_no, unnest(list) AS item
+  SELECT row_id, domain, unnest(range(len(list)))::INT AS item_no, unnest(list) AS item
   FROM (SELECT row_id, domain, json_extract(body::JSON, '$[*]') AS list
         FROM (SELECT * FROM replies WHERE json_valid(body) AND NOT regexp_matches(body, ',\\s*\\]$')))),
 synthetic AS (
