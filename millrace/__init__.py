@@ -1,10 +1,8 @@
 """Instruction-data preparation, scoring and drift monitoring as Spark jobs."""
 
-from pyspark import cloudpickle as _cloudpickle
+import sys as _sys
 
-from millrace.functions import lcs as _lcs
-from millrace.functions import stem as _stem
+from pyspark import cloudpickle as _cloudpickle
 
 # The Arrow UDF bodies travel with the task, so executors need no installed copy.
-for _module in (_lcs, _stem):
-    _cloudpickle.register_pickle_by_value(_module)
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import sql
 from millrace.catalog.stem_sql import stem_steps
-from millrace.functions import metrics
 from millrace.functions.text import words
 from millrace.operators import evaluating, perplexity, splitting, voting
 from millrace.operators.ranking import first_rows
@@ -16,14 +15,14 @@ def word_tokens(spark, sf_dir):
     )
 
 
-def _per_side(metric, name):
-    """A metric of both model outputs, rounded."""
+def _per_side(metric, name, stem=True):
+    """One metric of both model outputs, rounded."""
 
     def query(spark, sf_dir):
-        ref = F.col("reference")
-        return bindings.results(spark, sf_dir).select(
-            "row_id",
-            *[F.round(metric(F.col(f"{s}_output"), ref), 9).alias(f"{s}_{name}") for s in evaluating.SIDES],
+        outputs = {f"{s}_": f"{s}_output" for s in evaluating.SIDES}
+        scored = evaluating.with_metrics(bindings.results(spark, sf_dir), outputs, stem=stem)
+        return scored.select(
+            "row_id", *[F.round(f"{s}_{metric}", 9).alias(f"{s}_{name}") for s in evaluating.SIDES]
         )
 
     return query
@@ -117,10 +116,10 @@ def vote_tally(spark, sf_dir):
 
 QUERIES = {
     "word_tokens": word_tokens,
-    "exact_match": _per_side(metrics.exact_match, "exact_match"),
-    "token_f1": _per_side(metrics.token_f1, "token_f1"),
-    "rouge_l_plain": _per_side(lambda p, r: metrics.rouge_l(p, r, stem=False), "rouge_l"),
-    "rouge_l_stemmed": _per_side(metrics.rouge_l, "rouge_l"),
+    "exact_match": _per_side("exact_match", "exact_match"),
+    "token_f1": _per_side("token_f1", "token_f1"),
+    "rouge_l_plain": _per_side("rougeL", "rouge_l", stem=False),
+    "rouge_l_stemmed": _per_side("rougeL", "rouge_l"),
     "mean_scores": mean_scores,
     "paired_predictions": paired_predictions,
     "first_results": first_results,

@@ -2,7 +2,7 @@
 
 import pyarrow as pa
 
-from millrace.functions.stem import stem_tokens
+from millrace.functions.stem import stem_word
 
 
 def lcs_length(left: list[str], right: list[str]) -> int:
@@ -22,8 +22,16 @@ def lcs_length(left: list[str], right: list[str]) -> int:
 
 
 def lcs_lengths(left: pa.Array, right: pa.Array, stemmed: bool) -> pa.Array:
-    """One length per pair of token lists in an Arrow batch."""
-    sides = (left.to_pylist(), right.to_pylist())
-    if stemmed:
-        sides = tuple([stem_tokens(tokens or []) for tokens in side] for side in sides)
-    return pa.array([lcs_length(a or [], b or []) for a, b in zip(*sides)], pa.int32())
+    """One length per pair of token lists in an Arrow batch; each distinct word is stemmed once."""
+    stems: dict[str, str] = {}
+
+    def prepared(tokens: list[str] | None) -> list[str]:
+        if not tokens or not stemmed:
+            return tokens or []
+        for token in tokens:
+            if token not in stems:
+                stems[token] = stem_word(token)
+        return [stems[token] for token in tokens]
+
+    pairs = zip(left.to_pylist(), right.to_pylist())
+    return pa.array([lcs_length(prepared(a), prepared(b)) for a, b in pairs], pa.int32())

@@ -1,4 +1,7 @@
-"""Per-row text metrics: exact match, token F1, ROUGE-L."""
+"""Per-row metrics over word lists: exact match, token F1, ROUGE-L.
+
+Word lists are built once per text, as columns, and shared by the metrics.
+"""
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -6,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.lcs import lcs_lengths
-from millrace.functions.text import words
 
 
-def exact_match(pred: Column, ref: Column) -> Column:
+def exact_match(pred_words: Column, ref_words: Column) -> Column:
     """1.0 where the word lists are equal; two empty lists are equal."""
-    return (words(pred) == words(ref)).cast("double")
+    return (pred_words == ref_words).cast("double")
 
 
 def overlap_size(pred: Column, ref: Column) -> Column:
@@ -41,15 +43,15 @@ def overlap_size(pred: Column, ref: Column) -> Column:
 
 
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
-    """Harmonic mean of overlap/n_pred and overlap/n_ref; 0 where nothing overlaps."""
-    precision = overlap.cast("double") / F.greatest(n_pred, F.lit(1))
-    recall = overlap.cast("double") / F.greatest(n_ref, F.lit(1))
-    return F.when(overlap > 0, 2 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
+    """Harmonic mean of overlap/n_pred and overlap/n_ref, 0 where nothing overlaps.
+
+    It equals 2 * overlap / (n_pred + n_ref), which names the overlap only once.
+    """
+    return 2.0 * overlap / F.greatest(n_pred + n_ref, F.lit(1))
 
 
-def token_f1(pred: Column, ref: Column) -> Column:
-    p, r = words(pred), words(ref)
-    return f_measure(overlap_size(p, r), F.size(p), F.size(r))
+def token_f1(pred_words: Column, ref_words: Column) -> Column:
+    return f_measure(overlap_size(pred_words, ref_words), F.size(pred_words), F.size(ref_words))
 
 
 def ascii_tokens(text: Column) -> Column:
@@ -67,8 +69,7 @@ def _lcs_stemmed(left: pa.Array, right: pa.Array) -> pa.Array:
     return lcs_lengths(left, right, stemmed=True)
 
 
-def rouge_l(pred: Column, ref: Column, stem: bool = True) -> Column:
+def rouge_l(pred_tokens: Column, ref_tokens: Column, stem: bool = True) -> Column:
     """ROUGE-L F-measure. Tokens and counts are native, only the LCS length is an Arrow UDF."""
-    p, r = ascii_tokens(pred), ascii_tokens(ref)
-    common = (_lcs_stemmed if stem else _lcs_plain)(p, r)
-    return f_measure(common, F.size(p), F.size(r))
+    common = (_lcs_stemmed if stem else _lcs_plain)(pred_tokens, ref_tokens)
+    return f_measure(common, F.size(pred_tokens), F.size(ref_tokens))

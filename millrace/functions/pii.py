@@ -6,18 +6,22 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import BOUNDARY, DIGIT, SPACE, WORD
+from millrace.functions.text import BOUNDARY, DIGIT, SPACE, WORD, evaluated_once
 
 # Labels and match patterns, applied in this order. Each sees the text the
-# previous one left behind. The patterns use the Unicode classes of ``text``.
-EMAIL = rf"{BOUNDARY}[{WORD}.+-]+@[{WORD}-]+\.[{WORD}.-]+{BOUNDARY}"
-SSN = rf"{BOUNDARY}{DIGIT}{{3}}-{DIGIT}{{2}}-{DIGIT}{{4}}{BOUNDARY}"
-CREDIT_CARD = rf"{BOUNDARY}{DIGIT}(?:[ -]?{DIGIT}){{12,15}}{BOUNDARY}"
+# previous one left behind. The patterns use the Unicode classes of ``text``. A match that
+# starts with a digit tests for that digit first and looks behind it afterwards, since most
+# positions fail on the digit.
+FIRST_DIGIT = rf"{DIGIT}(?<![{WORD}]{DIGIT})"
+LAST = rf"(?![{WORD}])"
+EMAIL = rf"{BOUNDARY}[{WORD}.+-]++@[{WORD}-]+\.[{WORD}.-]+{BOUNDARY}"
+SSN = rf"{FIRST_DIGIT}{DIGIT}{{2}}-{DIGIT}{{2}}-{DIGIT}{{4}}{LAST}"
+CREDIT_CARD = rf"{FIRST_DIGIT}(?:[ -]?{DIGIT}){{12,15}}{LAST}"
 PHONE = (
-    rf"(?<![{WORD}])(?:\+?{DIGIT}{{1,3}}[{SPACE}.-]?)?(?:\({DIGIT}{{3}}\)|{DIGIT}{{3}})"
-    rf"[{SPACE}.-]?{DIGIT}{{3}}[{SPACE}.-]?{DIGIT}{{4}}{BOUNDARY}"
+    rf"(?=[+({DIGIT}])(?<![{WORD}])(?:\+?{DIGIT}{{1,3}}[{SPACE}.-]?)?"
+    rf"(?:\({DIGIT}{{3}}\)|{DIGIT}{{3}})[{SPACE}.-]?{DIGIT}{{3}}[{SPACE}.-]?{DIGIT}{{4}}{LAST}"
 )
-IP_ADDRESS = rf"{BOUNDARY}(?:{DIGIT}{{1,3}}\.){{3}}{DIGIT}{{1,3}}{BOUNDARY}"
+IP_ADDRESS = rf"{FIRST_DIGIT}{DIGIT}{{0,2}}\.(?:{DIGIT}{{1,3}}\.){{2}}{DIGIT}{{1,3}}{LAST}"
 
 LABELS = ("EMAIL", "SSN", "CREDIT_CARD", "PHONE", "IP_ADDRESS")
 
@@ -61,14 +65,20 @@ def mask_card(text: Column) -> Column:
 
     The text is cut at the matches; masked matches and gaps are put back alternately.
     """
-    gaps = F.split(text, CREDIT_CARD, -1)
-    found = F.regexp_extract_all(text, F.lit(CREDIT_CARD), F.lit(0))
-    shown = F.transform(found, lambda m: F.when(luhn_valid(m), F.lit("[CREDIT_CARD]")).otherwise(m))
-    pieces = F.transform(
-        F.arrays_zip(gaps.alias("gap"), shown.alias("hit")),
-        lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))),
-    )
-    return F.when(text.rlike(CREDIT_CARD), F.array_join(pieces, "")).otherwise(text)
+
+    def masked(t: Column) -> Column:
+        gaps = F.split(t, CREDIT_CARD, -1)
+        found = F.regexp_extract_all(t, F.lit(CREDIT_CARD), F.lit(0))
+        shown = F.transform(
+            found, lambda m: F.when(luhn_valid(m), F.lit("[CREDIT_CARD]")).otherwise(m)
+        )
+        pieces = F.transform(
+            F.arrays_zip(gaps.alias("gap"), shown.alias("hit")),
+            lambda p: F.concat(p["gap"], F.coalesce(p["hit"], F.lit(""))),
+        )
+        return F.when(t.rlike(CREDIT_CARD), F.array_join(pieces, "")).otherwise(t)
+
+    return evaluated_once(text, masked)
 
 
 def mask_phone(text: Column) -> Column:
@@ -81,10 +91,11 @@ def mask_ip(text: Column) -> Column:
 
 def scrub(text: Column) -> Column:
     """All five masks in their fixed order. Text without a digit skips the numeric four."""
-    no_mail = mask_email(text)
-    return F.when(has_digit(text), mask_ip(mask_phone(mask_card(mask_ssn(no_mail))))).otherwise(
-        no_mail
-    )
+
+    def numbers(t: Column) -> Column:
+        return F.when(has_digit(t), mask_ip(mask_phone(mask_card(mask_ssn(t))))).otherwise(t)
+
+    return evaluated_once(mask_email(text), numbers)
 
 
 def label_count(text: Column, label: str) -> Column:

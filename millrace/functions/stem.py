@@ -1,8 +1,6 @@
 """Porter's suffix stripping (M. F. Porter, 1980), with the short-word and irregular-word
 departures that the usual ROUGE scorer's stemmer makes."""
 
-from functools import lru_cache
-
 # Whole words with a given stem.
 IRREGULAR = {
     "sky": "sky",
@@ -164,7 +162,6 @@ def _final_e(word: str) -> str:
     return word
 
 
-@lru_cache(maxsize=1 << 17)
 def stem_word(word: str) -> str:
     """Stem one lower-case word; words of up to three letters stay as they are."""
     if len(word) <= 3:
@@ -176,7 +173,3 @@ def stem_word(word: str) -> str:
     for step in (lambda w: _swap(w, STEP_3), _bare_suffix, _final_e):
         word = step(word)
     return word
-
-
-def stem_tokens(tokens: list[str]) -> list[str]:
-    return [stem_word(token) for token in tokens]

@@ -3,6 +3,8 @@
 Java's ``\\w``, ``\\d`` and ``\\s`` are ASCII, so the classes are spelled out here.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,3 +42,11 @@ def letter_count(text: Column) -> Column:
 def known_domain(domain: Column) -> Column:
     """Null and empty domains become "unknown"."""
     return F.coalesce(F.nullif(domain, F.lit("")), F.lit("unknown"))
+
+
+def evaluated_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` for a costly value that ``use`` mentions several times.
+
+    A lambda variable holds the value, where plain composition would repeat its expression.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)

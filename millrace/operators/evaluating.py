@@ -1,11 +1,11 @@
 """Scoring model output against references, and base against tuned by domain."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import metrics
 from millrace.functions.prose_json import braced, kind, number_at, strict_json, string_at
-from millrace.functions.text import known_domain
+from millrace.functions.text import known_domain, words
 from millrace.operators.ranking import first_rows
 
 # Metric names of the report, in its order.
@@ -22,22 +22,42 @@ def pair_predictions(
     ).join(finetuned.select(row_id, F.col("output").alias("finetuned_output")), row_id)
 
 
-def score(pred: Column, ref: Column, stem: bool = True) -> dict[str, Column]:
-    return {
-        "rougeL": metrics.rouge_l(pred, ref, stem),
-        "token_f1": metrics.token_f1(pred, ref),
-        "exact_match": metrics.exact_match(pred, ref),
-    }
-
+def with_metrics(
+    df: DataFrame, outputs: dict[str, str], ref: str = "reference", stem: bool = True
+) -> DataFrame:
+    """Add the three metrics of every output column; ``outputs`` maps a name prefix to it.
 
-def score_predictions(df: DataFrame, pred: str = "prediction", ref: str = "reference", stem: bool = True) -> DataFrame:
-    """Add the three metrics to each row."""
-    return df.withColumns(score(F.col(pred), F.col(ref), stem))
+    Each text is cut into words once, whatever the number of metrics and sides.
+    """
+    texts = {"ref": ref, **{f"{prefix}pred": column for prefix, column in outputs.items()}}
+    cut = df.withColumns(
+        {f"{k}__words": words(F.col(c)) for k, c in texts.items()}
+        | {f"{k}__tokens": metrics.ascii_tokens(F.col(c)) for k, c in texts.items()}
+    )
+    ref_words, ref_tokens = F.col("ref__words"), F.col("ref__tokens")
+    scores = {}
+    for prefix in outputs:
+        pred_words, pred_tokens = F.col(f"{prefix}pred__words"), F.col(f"{prefix}pred__tokens")
+        scores |= {
+            f"{prefix}rougeL": metrics.rouge_l(pred_tokens, ref_tokens, stem),
+            f"{prefix}token_f1": metrics.token_f1(pred_words, ref_words),
+            f"{prefix}exact_match": metrics.exact_match(pred_words, ref_words),
+        }
+    return cut.select(*df.columns, *[c.alias(name) for name, c in scores.items()])
+
+
+def score_predictions(
+    df: DataFrame, pred: str = "prediction", ref: str = "reference", stem: bool = True
+) -> DataFrame:
+    """Add the three metrics of one output column to each row."""
+    return with_metrics(df, {"": pred}, ref, stem)
 
 
-def mean_scores(df: DataFrame, pred: str = "prediction", ref: str = "reference", stem: bool = True) -> DataFrame:
+def mean_scores(
+    df: DataFrame, pred: str = "prediction", ref: str = "reference", stem: bool = True
+) -> DataFrame:
     """One row of metric means; zeros for an empty set."""
-    scored = df.select(*[c.alias(m) for m, c in score(F.col(pred), F.col(ref), stem).items()])
+    scored = score_predictions(df.select(pred, ref), pred, ref, stem)
     return scored.agg(*[F.coalesce(F.avg(m), F.lit(0.0)).alias(m) for m in METRICS])
 
 
@@ -47,13 +67,11 @@ def compare_by_domain(results: DataFrame, stem: bool = True, row_id: str = "row_
     Rows are scored once. Sums per domain come first, and the total row is rolled up from
     those few rows. ``is_total`` tells it from a domain that happens to be called ALL.
     """
-    columns = {}
-    for side in SIDES:
-        scored = score(F.col(f"{side}_output"), F.col("reference"), stem)
-        columns |= {f"{side}_{m}": c for m, c in scored.items()}
-    rows = results.select(
-        known_domain(F.col("domain")).alias("domain"), row_id, *[c.alias(k) for k, c in columns.items()]
-    )
+    columns = [f"{side}_{m}" for side in SIDES for m in METRICS]
+    outputs = {f"{side}_": f"{side}_output" for side in SIDES}
+    rows = with_metrics(
+        results.select(row_id, "domain", "reference", *outputs.values()), outputs, "reference", stem
+    ).withColumn("domain", known_domain(F.col("domain")))
     per_domain = rows.groupBy("domain").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(row_id).alias("first_row"),

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import words
+from millrace.session import stage
 
 # Marks the start of a text, as a tokenizer's first token does. Words never contain "<".
 START = "<s>"
@@ -27,34 +28,30 @@ def perplexity_pair(losses: DataFrame) -> DataFrame:
     )
 
 
-def _steps(text: Column, max_length: int | None) -> Column:
-    """(previous, word) for every word; the first one follows START."""
-    tokens = words(text)
-    if max_length is not None:
-        tokens = F.slice(tokens, 1, max_length - 1)
-    return F.arrays_zip(
-        F.concat(F.array(F.lit(START)), tokens).alias("previous"), tokens.alias("word")
-    )
-
-
 def bigram_losses(
     texts: DataFrame, add_k: float = 0.5, max_length: int | None = 2048
 ) -> DataFrame:
     """Loss of held-out text under two add-k bigram models, in one pass over the corpus.
 
+    The START mark counts towards ``max_length``, as a tokenizer's first token does.
+
     ``texts`` has ``text`` and the flags ``in_base``, ``in_finetuned``, ``held_out``. Equal
-    bigrams are counted before anything else happens, so no common word makes a hot key, and
-    the loss splits into a bigram term and a context term that need no join:
+    bigrams are counted before anything else happens, so no common word makes a hot key; the
+    counts are written once. The loss splits into a bigram term and a context term without join:
     -log((c(v,w)+k) / (c(v)+kV)) = log(c(v)+kV) - log(c(v,w)+k).
     """
     flags = ("in_base", "in_finetuned", "held_out")
-    steps = texts.select(
-        *[F.col(f).cast("long").alias(f) for f in flags],
-        F.explode(_steps(F.col("text"), max_length)).alias("step"),
-    ).where(F.col("step.word").isNotNull())
-    bigrams = steps.groupBy(
-        F.col("step.previous").alias("previous"), F.col("step.word").alias("word")
-    ).agg(*[F.sum(f).alias(f) for f in flags])
+    tokens = words(F.col("text"))
+    if max_length is not None:
+        tokens = F.slice(tokens, 1, max_length - 1)
+    rows = texts.select(*[F.col(f).cast("long").alias(f) for f in flags], tokens.alias("tokens"))
+    previous = F.concat(F.array(F.lit(START)), "tokens")
+    steps = rows.select(
+        *flags, F.inline(F.arrays_zip(previous.alias("previous"), F.col("tokens").alias("word")))
+    ).where(F.col("word").isNotNull())
+    bigrams = stage(
+        steps.groupBy("previous", "word").agg(*[F.sum(f).alias(f) for f in flags]), "bigrams"
+    )
     contexts = bigrams.groupBy("previous").agg(*[F.sum(f).alias(f) for f in flags])
     vocabulary = bigrams.groupBy("word").agg(F.max("in_base").alias("seen")).where("seen > 0")
     smoothing = F.lit(add_k) * vocabulary.select(F.count(F.lit(1))).scalar()
