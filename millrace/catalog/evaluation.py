@@ -255,11 +255,11 @@ verdicts AS (
 
 REPORT_LINES = """SELECT false AS part, -1 AS first_row, 0 AS line_no, '# Fine-tuned vs Base Model' || chr(10) AS line
 UNION ALL
-SELECT is_total, first_row, unnest([0, 1, 2, 3]), unnest(['', printf('## %s (n=%d)', domain, n), '',
+SELECT is_total, CASE WHEN NOT is_total THEN first_row END, unnest([0, 1, 2, 3]), unnest(['', printf('## %s (n=%d)', domain, n), '',
   '| Metric | Base | Fine-tuned | Delta |' || chr(10) || '|---|---|---|---|'])
 FROM compared WHERE metric_no = 0
 UNION ALL
-SELECT is_total, first_row, metric_no + 4,
+SELECT is_total, CASE WHEN NOT is_total THEN first_row END, metric_no + 4,
   printf('| %s | %.3f | %.3f | %+.3f |', metric, base, finetuned, finetuned - base) FROM compared"""
 
 _JUDGE_MEANS = """judged AS (

@@ -163,15 +163,16 @@ def report_lines(comparison: DataFrame, judge: DataFrame | None = None) -> DataF
 
     A handful of rows per domain, so one ordered text file is fine.
     """
+    first_row = F.when(~F.col("is_total"), F.col("first_row")).alias("first_row")
     table = comparison.select(
-        F.col("is_total").alias("part"), "first_row", "domain", "n",
+        F.col("is_total").alias("part"), first_row, "domain", "n",
         (F.col("metric_no") + 4).alias("line_no"),
         F.format_string(
             "| %s | %.3f | %.3f | %+.3f |", "metric", "base", "finetuned", "delta"
         ).alias("line"),
     )
     heads = comparison.where("metric_no = 0").select(
-        F.col("is_total").alias("part"), "first_row", "domain", "n",
+        F.col("is_total").alias("part"), first_row, "domain", "n",
         F.posexplode(
             F.array(
                 F.lit(""),
