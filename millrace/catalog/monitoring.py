@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import sql
 from millrace.operators import drift
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, stage
 from millrace.sources import bindings
 from millrace.streaming import usage
 
@@ -33,18 +33,20 @@ def _shown(windows):
     )
 
 
+def _vocabulary(spark, sf_dir):
+    return stage(drift.vocabulary(bindings.drift_train(spark, sf_dir)), "vocabulary")
+
+
 def usage_windows_batch(spark, sf_dir):
     log = bindings.usage_events(bindings.table(spark, sf_dir, "events"))
-    return _shown(usage.windowed_usage(log, drift.vocabulary(bindings.drift_train(spark, sf_dir))))
+    return _shown(usage.windowed_usage(log, _vocabulary(spark, sf_dir)))
 
 
 def usage_windows_stream(spark, sf_dir):
     """The events table read as a stream of usage records, all windows."""
     schema = bindings.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    windows = usage.windowed_usage(
-        bindings.usage_events(events), drift.vocabulary(bindings.drift_train(spark, sf_dir))
-    )
+    windows = usage.windowed_usage(bindings.usage_events(events), _vocabulary(spark, sf_dir))
     name = f"usage_windows_{uuid.uuid4().hex}"
     return _shown(usage.current_windows(windows, name, scratch_dir(spark, "usage-stream")))
 
@@ -54,6 +56,7 @@ QUERIES = {
     "length_ks": lambda s, d: _rounded(drift.ks_lengths(*_both(s, d))),
     "length_ks_by_domain": lambda s, d: _rounded(drift.ks_lengths(*_both(s, d), by=["domain"])),
     "train_vocabulary": lambda s, d: drift.vocabulary(bindings.drift_train(s, d)),
+    "word_uses": lambda s, d: drift.word_uses(*_both(s, d)),
     "oov_rate": lambda s, d: _rounded(drift.oov_rate(*_both(s, d))),
     "drift_verdict": lambda s, d: _rounded(drift.drift_verdict(*_both(s, d))),
     "drift_by_domain": lambda s, d: _rounded(drift.drift_by_domain(*_both(s, d))),
@@ -114,8 +117,11 @@ FROM traffic JOIN uses USING (day, domain)"""
 
 ORACLES = {
     "length_histogram": f"""WITH {_SIDES}
-SELECT len(w)::INT AS n_words, count(*) FILTER (is_live = 0) AS train_rows,
-  count(*) FILTER (is_live = 1) AS live_rows FROM sides GROUP BY 1""",
+SELECT len(w)::INT AS n_words, count(*) FILTER (is_live = 0) AS in_train,
+  count(*) FILTER (is_live = 1) AS in_live FROM sides GROUP BY 1""",
+    "word_uses": f"""WITH {_SIDES}
+SELECT word, count(*) FILTER (is_live = 0) AS in_train, count(*) FILTER (is_live = 1) AS in_live
+FROM (SELECT is_live, unnest(w) AS word FROM sides) GROUP BY word""",
     "length_ks": f"""WITH {_drift("'all'")}
 SELECT train_rows, live_rows, round(ks, 9) AS ks, round(p_value, 9) AS p_value FROM ks_p""",
     "length_ks_by_domain": f"""WITH {_drift("domain")}

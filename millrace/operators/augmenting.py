@@ -43,8 +43,9 @@ def few_shot_samples(
     """
     rows = keyed(train.withColumn("domain", known_domain(F.col("domain"))), seed, row_id)
     profiles = group_profiles(rows, ["domain"])
-    by_name = F.row_number().over(Window.orderBy("domain")) - 1
-    domains = broadcast_if_small(profiles.withColumn("domain_no", by_name.cast("long")))
+    by_name = (F.row_number().over(Window.orderBy("domain")) - 1).cast("long")
+    numbered = profiles.select("domain").withColumn("domain_no", by_name)
+    domains = broadcast_if_small(profiles.join(numbered, "domain"))
     n_domains = domains.select(F.count(F.lit(1))).scalar()
     drawn = train.sparkSession.range(calls).select(
         F.col("id").alias("call"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.stats import ks_p_value
 from millrace.functions.text import words
+from millrace.session import stage
 
 # Rows needed for a verdict, and the strict thresholds.
 MIN_LIVE_ROWS = 30
@@ -13,39 +14,54 @@ OOV_THRESHOLD = 0.25
 
 
 def _sides(train: DataFrame, live: DataFrame, by: list[str]) -> DataFrame:
-    """Both text sets under one schema; a missing training input is an empty text."""
-    return train.select(
+    """Word lists of both text sets; a missing training input is an empty text."""
+    texts = train.select(
         *by, F.lit(0).alias("is_live"), F.coalesce("input", F.lit("")).alias("text")
     ).unionByName(live.select(*by, F.lit(1).alias("is_live"), F.col("query").alias("text")))
+    return texts.select(*by, "is_live", words(F.col("text")).alias("words"))
+
+
+def _per_side(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Count both sides per key, in one aggregation with map-side combining."""
+    return rows.groupBy(*keys).agg(
+        F.count_if(F.col("is_live") == 0).alias("in_train"),
+        F.count_if(F.col("is_live") == 1).alias("in_live"),
+    )
 
 
 def length_histogram(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Texts per word count on each side."""
     by = by or []
-    side = F.col("is_live")
-    return (
-        _sides(train, live, by)
-        .withColumn("n_words", F.size(words(F.col("text"))))
-        .groupBy(*by, "n_words")
-        .agg(
-            F.count_if(side == 0).alias("train_rows"),
-            F.count_if(side == 1).alias("live_rows"),
-        )
-    )
+    rows = _sides(train, live, by).withColumn("n_words", F.size("words"))
+    return _per_side(rows, [*by, "n_words"])
 
 
-def ks_lengths(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Two-sample KS statistic and p-value of the word counts.
+def word_uses(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Occurrences of each word on each side; a word is one row however common it is."""
+    by = by or []
+    rows = _sides(train, live, by).select(*by, "is_live", F.explode("words").alias("word"))
+    return _per_side(rows, [*by, "word"])
 
-    The running sums go over distinct lengths, never over rows.
-    """
+
+def text_profile(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Both counts from one pass over the texts: ``word`` is null in the rows about lengths."""
+    by = by or []
+    length = F.struct(F.lit(None).cast("string").alias("word"), F.size("words").alias("n_words"))
+    each = F.transform(
+        "words", lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("n_words"))
+    )
+    rows = _sides(train, live, by).select(*by, "is_live", F.inline(F.concat(F.array(length), each)))
+    return _per_side(rows, [*by, "word", "n_words"])
+
+
+def ks_of_histogram(histogram: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Two-sample KS statistic and p-value; running sums go over lengths, never over rows."""
     by = by or []
-    histogram = length_histogram(train, live, by)
     whole = Window.partitionBy(*by)
     upto = whole.orderBy("n_words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n, m = F.sum("train_rows").over(whole), F.sum("live_rows").over(whole)
-    train_share = F.sum("train_rows").over(upto) / F.nullif(n, F.lit(0))
-    live_share = F.sum("live_rows").over(upto) / F.nullif(m, F.lit(0))
+    n, m = F.sum("in_train").over(whole), F.sum("in_live").over(whole)
+    train_share = F.sum("in_train").over(upto) / F.nullif(n, F.lit(0))
+    live_share = F.sum("in_live").over(upto) / F.nullif(m, F.lit(0))
     gaps = histogram.select(
         *by,
         n.alias("train_total"),
@@ -62,6 +78,10 @@ def ks_lengths(train: DataFrame, live: DataFrame, by: list[str] | None = None) -
     )
 
 
+def ks_lengths(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return ks_of_histogram(length_histogram(train, live, by), by)
+
+
 def vocabulary(train: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Distinct words of the training inputs; repeats within a text go before the shuffle."""
     by = by or []
@@ -69,35 +89,23 @@ def vocabulary(train: DataFrame, by: list[str] | None = None) -> DataFrame:
     return train.select(*by, found.alias("word")).distinct()
 
 
-def word_counts(live: DataFrame, by: list[str] | None = None) -> DataFrame:
-    by = by or []
+def oov_of_uses(uses: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Share of live word occurrences that training never saw."""
+    unseen = F.when(F.col("in_train") == 0, F.col("in_live"))
     return (
-        live.select(*by, F.explode(words(F.col("query"))).alias("word"))
-        .groupBy(*by, "word")
-        .agg(F.count(F.lit(1)).alias("uses"))
-    )
-
-
-def oov_rate(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Share of live word occurrences that training never saw.
-
-    Words are counted before they meet the vocabulary, so a common word is one row there.
-    """
-    by = by or []
-    known = vocabulary(train, by).withColumn("known", F.lit(True))
-    counted = word_counts(live, by).join(known, [*by, "word"], "left")
-    return (
-        counted.groupBy(*by)
+        uses.groupBy(*(by or []))
         .agg(
-            F.coalesce(F.sum("uses"), F.lit(0)).alias("live_words"),
-            F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("uses"))), F.lit(0)).alias(
-                "unseen_words"
-            ),
+            F.coalesce(F.sum("in_live"), F.lit(0)).alias("live_words"),
+            F.coalesce(F.sum(unseen), F.lit(0)).alias("unseen_words"),
         )
         .withColumn("oov_rate", F.col("unseen_words") / F.greatest("live_words", F.lit(1)))
     )
 
 
+def oov_rate(train: DataFrame, live: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return oov_of_uses(word_uses(train, live, by), by)
+
+
 def drift_verdict(
     train: DataFrame,
     live: DataFrame,
@@ -105,15 +113,17 @@ def drift_verdict(
     p_threshold: float = P_THRESHOLD,
     oov_threshold: float = OOV_THRESHOLD,
 ) -> DataFrame:
-    """One row, or one per group, with the statistics and the status.
+    """One row, or one per group with live rows: the statistics and the status.
 
-    "insufficient" below 30 live rows, else "drift" or "ok". The two small results are
-    stacked and folded together rather than joined. A group must have live rows.
+    "insufficient" below 30 live rows, else "drift" or "ok". The texts are read once: their
+    profile is written, and both statistics come from it. The two small results are stacked
+    and folded together rather than joined.
     """
     by = by or []
     numbers = ["train_rows", "live_rows", "ks", "p_value", "live_words", "unseen_words", "oov_rate"]
-    stacked = ks_lengths(train, live, by).unionByName(
-        oov_rate(train, live, by), allowMissingColumns=True
+    profile = stage(text_profile(train, live, by), "profile")
+    stacked = ks_of_histogram(profile.where("word is null"), by).unionByName(
+        oov_of_uses(profile.where("word is not null"), by), allowMissingColumns=True
     )
     folded = stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in numbers])
     filled = folded.fillna(0, ["live_words", "unseen_words"]).fillna(0.0, ["oov_rate"])

@@ -34,10 +34,15 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a table has few enough rows to broadcast; counted, not estimated."""
+    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast a computed dimension only after counting it.
 
     Above the bound the table is returned as it is and the join shuffles.
     """
     held = df.persist()
-    return F.broadcast(held) if held.count() <= max_rows else held
+    return F.broadcast(held) if is_small(held, max_rows) else held

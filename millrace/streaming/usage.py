@@ -5,21 +5,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import words
+from millrace.session import is_small
 from millrace.sources.schemas import USAGE
 
+# Tasks among which one word's occurrences are divided when the vocabulary is shuffled.
+SALTS = 32
+
 
 def usage_stream(spark: SparkSession, path: str) -> DataFrame:
     """New JSON Lines parts of the log folder as they arrive."""
     return spark.readStream.schema(USAGE).json(path)
 
 
+def _with_known(spread: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Flag the words of the vocabulary.
+
+    A small vocabulary is broadcast. A larger one is repeated per salt, so that the
+    occurrences of one very common word meet it in several tasks.
+    """
+    known = vocabulary.select("word", F.lit(True).alias("known"))
+    if is_small(vocabulary):
+        return spread.join(F.broadcast(known), "word", "left")
+    salt = F.pmod(F.xxhash64("at", "pos"), F.lit(SALTS))
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return spread.withColumn("salt", salt).join(salted, ["word", "salt"], "left").drop("salt")
+
+
 def windowed_usage(
     usage: DataFrame, vocabulary: DataFrame, window: str = "1 day", watermark: str = "1 hour"
 ) -> DataFrame:
     """Per window and domain: rows, mean latency, words, unseen words and their rate.
 
-    Works on a stream and on a batch alike. Each record becomes one row per word, joined to
-    the static vocabulary; the row of the first word stands for the record itself.
+    Works on a stream and on a batch alike. Each record becomes one row per word; the row of
+    the first word stands for the record itself. A stream reads ``vocabulary`` again for
+    every micro-batch, so hand in a staged table, not the job that builds it.
     """
     timed = usage.withColumn("at", F.timestamp_seconds("timestamp"))
     if usage.isStreaming:
@@ -27,11 +46,9 @@ def windowed_usage(
     spread = timed.select(
         "at", "domain", "latency_ms", F.posexplode_outer(words(F.col("query"))).alias("pos", "word")
     )
-    known = vocabulary.select("word", F.lit(True).alias("known"))
-    joined = spread.join(known, "word", "left")
     is_record = F.coalesce("pos", F.lit(0)) == 0
     unseen = F.col("word").isNotNull() & F.col("known").isNull()
-    grouped = joined.groupBy(F.window("at", window), "domain").agg(
+    grouped = _with_known(spread, vocabulary).groupBy(F.window("at", window), "domain").agg(
         F.count_if(is_record).alias("n_rows"),
         F.avg(F.when(is_record, F.col("latency_ms"))).alias("mean_latency_ms"),
         F.count("word").alias("n_words"),

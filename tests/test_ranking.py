@@ -73,7 +73,6 @@ def test_split_plan_does_not_shuffle_the_rows(spark):
 
 def test_join_takes_over_when_the_cuts_are_too_many_to_broadcast(spark, monkeypatch):
     monkeypatch.setattr("millrace.session.BROADCAST_ROWS", 0)
-    monkeypatch.setattr("millrace.session.broadcast_if_small.__defaults__", (0,))
     df = spark.createDataFrame(ROWS, "row_id bigint, domain string")
     assert split_of(df) == expected_split(ROWS)
 

@@ -124,6 +124,16 @@ def test_stream_equals_batch(spark, tmp_path, vocab):
     assert batch[0] == ("1970-01-01 00:00:00", "legal", 1, 5.0, 0, 0, 0.0)
 
 
+def test_salted_join_with_a_large_vocabulary(spark, tmp_path, vocab, monkeypatch):
+    log = log_rows(spark)
+    expected = as_rows(usage.windowed_usage(log, vocab))
+    monkeypatch.setattr("millrace.session.BROADCAST_ROWS", 0)
+    assert as_rows(usage.windowed_usage(log, vocab)) == expected
+    jsonl.append_usage(log, str(tmp_path / "log"))
+    stream = usage.windowed_usage(usage.usage_stream(spark, str(tmp_path / "log")), vocab)
+    assert as_rows(usage.current_windows(stream, "salted_windows", str(tmp_path / "check"))) == expected
+
+
 def test_append_mode_writes_closed_windows_once(spark, tmp_path, vocab):
     log, out, check = (str(tmp_path / x) for x in ("log", "out", "check"))
     rows = log_rows(spark)
