@@ -20,3 +20,4 @@ CHAT_REQUEST = (
     "row_id bigint, domain string, message string, max_tokens int, temperature double"
 )
 VOTE = "row_id bigint, choice string"
+JUDGE_REPLIES = "row_id bigint, base_reply string, finetuned_reply string"
