@@ -5,6 +5,8 @@ letter or number in MARK, ASCII letters that no test text contains, so that ``\\
 character on both sides of it; MARK goes away at the end.
 """
 
+from string import ascii_lowercase, ascii_uppercase
+
 WORD = r"\pL\pN_"
 SPACE = r"\s\x0b\x1c-\x1f\x85\pZ"
 MARK = "QZQ"
@@ -206,7 +208,7 @@ results AS (
          {lit(SUPPORT_INSTRUCTION)} || chr(10) || chr(10) || instruction AS prompt_text,
          response AS reference,
          substring(response, 1, length(response) // 2) AS base_output,
-         CASE WHEN conv_id % 10 = 0 THEN upper(response)
+         CASE WHEN conv_id % 10 = 0 THEN translate(response, '{ascii_lowercase}', '{ascii_uppercase}')
               ELSE substring(response, 1, length(response) * 3 // 4) END AS finetuned_output
   FROM support)"""
 

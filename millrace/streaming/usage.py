@@ -8,8 +8,10 @@ from millrace.functions.text import words
 from millrace.session import is_small
 from millrace.sources.schemas import USAGE
 
-# Tasks among which one word's occurrences are divided when the vocabulary is shuffled.
-SALTS = 32
+# Words (short strings and a flag) that may be broadcast; they take some 100 MB.
+BROADCAST_WORDS = 1_000_000
+# Tasks among which a stream divides one word's occurrences beyond that.
+SALTS = 8
 
 
 def usage_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -20,14 +22,18 @@ def usage_stream(spark: SparkSession, path: str) -> DataFrame:
 def _with_known(spread: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Flag the words of the vocabulary.
 
-    A small vocabulary is broadcast. A larger one is repeated per salt, so that the
-    occurrences of one very common word meet it in several tasks.
+    A vocabulary counted as small is broadcast. With a larger one, adaptive execution splits
+    the very common words of a batch. A stream has no such help, so there the vocabulary is
+    repeated per salt and one word's occurrences meet it in several tasks.
     """
     known = vocabulary.select("word", F.lit(True).alias("known"))
-    if is_small(vocabulary):
+    if is_small(vocabulary, BROADCAST_WORDS):
         return spread.join(F.broadcast(known), "word", "left")
+    if not spread.isStreaming:
+        return spread.join(known, "word", "left")
     salt = F.pmod(F.xxhash64("at", "pos"), F.lit(SALTS))
-    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    salted = known.withColumn("salt", every_salt)
     return spread.withColumn("salt", salt).join(salted, ["word", "salt"], "left").drop("salt")
 
 

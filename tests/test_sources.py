@@ -127,7 +127,7 @@ def test_stream_equals_batch(spark, tmp_path, vocab):
 def test_salted_join_with_a_large_vocabulary(spark, tmp_path, vocab, monkeypatch):
     log = log_rows(spark)
     expected = as_rows(usage.windowed_usage(log, vocab))
-    monkeypatch.setattr("millrace.session.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("millrace.streaming.usage.BROADCAST_WORDS", 0)
     assert as_rows(usage.windowed_usage(log, vocab)) == expected
     jsonl.append_usage(log, str(tmp_path / "log"))
     stream = usage.windowed_usage(usage.usage_stream(spark, str(tmp_path / "log")), vocab)
