@@ -1,4 +1,7 @@
-"""Collectors: a seeded sample of a source, projected to the raw record of its domain."""
+"""Collectors: a seeded sample of a source, projected to the raw record of its domain.
+
+The domain and source names written into the records are fixed values.
+"""
 
 from functools import reduce
 

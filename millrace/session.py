@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 
+# Runtime settings that suit the jobs. Adaptive execution may then hash instead of sort where
+# every partition of a join's narrow side has turned out small, as in the dedup semi-join:
+# the wide rows are not sorted.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
+def tune(spark: SparkSession) -> None:
+    """Apply the settings to a session; the caller decides, no job does it by itself."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the cluster's shared ``spark.checkpoint.dir``.

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from millrace.functions import chat
 from millrace.operators import formatting
 from millrace.sources import schemas
