@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD = r"\p{L}\p{N}_"
+# The letter beyond the basic plane is a letter anyway: seeing one in the pattern makes Java
+# look behind by code points and not by half surrogate pairs.
+WORD = r"\p{L}\p{N}_" + "\U00010428"
 DIGIT = r"\p{Nd}"
 SPACE = r"\s\x1c-\x1f\x85\p{Z}"
 

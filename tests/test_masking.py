@@ -29,6 +29,10 @@ CASES = [
     # Arabic-Indic digits count as digits, in the Luhn check too
     ("٤١١١ ١١١١ ١١١١ ١١١١", "[CREDIT_CARD]"),
     ("123-45-67890", "123-45-67890"),
+    # letters and digits beyond the basic plane are word characters, emoji are not
+    ("𐐷4111 1111 1111 1111", "𐐷4111 1111 1111 1111"),
+    ("𝟗123-45-6789", "𝟗123-45-6789"),
+    ("😀555-123-4567", "😀[PHONE]"),
     ("", ""),
     ("plain text", "plain text"),
 ]
