@@ -65,7 +65,8 @@ def compare_by_domain(results: DataFrame, stem: bool = True, row_id: str = "row_
     """Base, tuned and delta of each metric per domain and over all rows.
 
     Rows are scored once. Sums per domain come first, and the total row is rolled up from
-    those few rows. ``is_total`` tells it from a domain that happens to be called ALL.
+    those few rows and one of zeros, so that it exists, all zero, for an empty set as well.
+    ``is_total`` tells it from a domain that happens to be called ALL.
     """
     columns = [f"{side}_{m}" for side in SIDES for m in METRICS]
     outputs = {f"{side}_": f"{side}_output" for side in SIDES}
@@ -77,7 +78,13 @@ def compare_by_domain(results: DataFrame, stem: bool = True, row_id: str = "row_
         F.min(row_id).alias("first_row"),
         *[F.sum(k).alias(k) for k in columns],
     )
-    rolled = per_domain.rollup("domain").agg(
+    nothing = results.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("domain"),
+        F.lit(0).cast("long").alias("n"),
+        F.lit(None).cast("long").alias("first_row"),
+        *[F.lit(0.0).alias(k) for k in columns],
+    )
+    rolled = per_domain.unionByName(nothing).rollup("domain").agg(
         F.grouping("domain").cast("boolean").alias("is_total"),
         F.sum("n").alias("n"),
         F.min("first_row").alias("first_row"),
@@ -88,13 +95,13 @@ def compare_by_domain(results: DataFrame, stem: bool = True, row_id: str = "row_
             F.struct(
                 F.lit(i).alias("metric_no"),
                 F.lit(m).alias("metric"),
-                (F.col(f"base_{m}") / F.col("n")).alias("base"),
-                (F.col(f"finetuned_{m}") / F.col("n")).alias("finetuned"),
+                (F.col(f"base_{m}") / F.greatest("n", F.lit(1))).alias("base"),
+                (F.col(f"finetuned_{m}") / F.greatest("n", F.lit(1))).alias("finetuned"),
             )
             for i, m in enumerate(METRICS)
         ]
     )
-    return rolled.where("n > 0").select(
+    return rolled.where("n > 0 or is_total").select(
         F.when(F.col("is_total"), "ALL").otherwise(F.col("domain")).alias("domain"),
         "is_total",
         "n",

@@ -120,6 +120,13 @@ def test_report_groups_and_total(spark):
     assert exact_rows["unknown", False].delta == pytest.approx(0.0)
 
 
+def test_report_of_nothing_is_a_total_of_zeros(spark):
+    rows = evaluating.compare_by_domain(results(spark).where("false")).collect()
+    assert [(r.domain, r.is_total, r.n, r.base, r.finetuned, r.delta) for r in rows] == [
+        ("ALL", True, 0, 0.0, 0.0, 0.0)
+    ] * 3
+
+
 def test_report_text(spark, tmp_path):
     from millrace.sources.jsonl import write_report
 
