@@ -6,9 +6,10 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from millrace.catalog import all_oracles, all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert rows and set(rows[0].asDict()) == {"domain", "split", "n_rows"}
