@@ -9,6 +9,7 @@ unary into a bit vector with a sampled select structure. n ends up to u take abo
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -19,7 +20,7 @@ from millrace.llm.common import columns_of, partitions, rows_batch, scratch_dir,
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_TOKENS = 1 << 20
-CACHE = 400_000
+CACHE = 1_000_000
 SELECT_EVERY = 64
 NO_ID = -(1 << 63)
 
@@ -79,37 +80,68 @@ class EliasFano:
         return ((at - np.arange(self.n)) << self.low_bits) | shifted.sum(axis=1)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters in which byte-level vocabularies write bytes: visible ones as they are, the
+    others numbered from 256 on.
+    """
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of a text, found piece by piece.
 
     Pieces between single blanks are encoded by the tokenizer once and then looked up. The
-    table is dropped when it holds ``CACHE`` pieces, so its memory is bounded.
+    table is dropped when it holds ``CACHE`` pieces, so its memory is bounded. A piece that is a word of
+    Latin letters, with or without marks after it, is known to be one or two units of the
+    pre-tokenizer; its units go straight to the tokenizer's model.
     """
 
+    WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known = {}
+        plain = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
+        plain = plain and not self.tokenizer.pre_tokenizer.add_prefix_space and isinstance(self.tokenizer.model, models.BPE)
+        self.model = self.tokenizer.model if plain else None
+        self.letters = _byte_letters()
 
     @staticmethod
     def pieces(text: str) -> list[str]:
         parts = _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
-        return [p if i == 0 else " " + p for i, p in enumerate(parts)]
+        return [parts[0], *[" " + p for p in parts[1:]]]
+
+    def _unit(self, unit: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
+
+    def _learn(self, new: list[str]) -> None:
+        rest = new
+        if self.model is not None:
+            rest = []
+            for piece in new:
+                found = self.WORD.fullmatch(piece)
+                if not found:
+                    rest.append(piece)
+                    continue
+                ids = self._unit(found[1]) + (self._unit(found[2]) if found[2] else [])
+                self.known[piece] = array(self.width.char, ids).tobytes()
+        for start in range(0, len(rest), 10_000):
+            some = rest[start : start + 10_000]
+            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[piece] = array(self.width.char, e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``width``."""
         cut = [self.pieces(t) if t else [] for t in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        known = self.known
-        new = list({p for parts in cut for p in parts if p not in known})
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[piece] = np.array(e.ids, dtype=self.width).tobytes()
-        return [b"".join([known[p] for p in parts]) for parts in cut]
+        self._learn(list(set().union(*cut).difference(self.known)))
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
 
 
 def encoder(path: str) -> Encoder:
