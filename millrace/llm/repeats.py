@@ -25,9 +25,9 @@ from millrace.llm.common import columns_of, mix64, partitions, powers, rows_batc
 from millrace.llm.run_index import RunIndex
 
 LENGTH = 100
-GRAM = 16
+GRAM = 24
 HOT = 20_000
-INDEX_BYTES = 4_000_000
+INDEX_BYTES = 1_000_000
 _ODD = 0x9E3779B97F4A7C15
 _VALUE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 

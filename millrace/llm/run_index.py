@@ -14,19 +14,38 @@ reaches ``length``, and where the earliest such match begins.
 import numpy as np
 
 
-def suffix_order(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _ranked(values: np.ndarray, order: np.ndarray) -> np.ndarray:
+    rank = np.empty(len(values), dtype=np.int64)
+    rank[order] = np.cumsum(np.concatenate(([0], (np.diff(values[order]) != 0).astype(np.int64))))
+    return rank
+
+
+def suffix_order(symbols: np.ndarray, first_byte: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, class of each place by its first ``length`` symbols).
 
     Ranks double the number of symbols that they compare until all differ. End marks differ from each
     other, so no class reaches across the end of a piece.
     """
-    n, size = len(symbols), 1
-    rank, by_length = symbols.astype(np.int64), None
-    order = np.argsort(rank, kind="stable")
+    n, marks = len(symbols), symbols < first_byte
+    # The first ranks compare as many bytes at once as fit a number beside that of the end mark, if one
+    # is met; what follows an end mark does not count.
+    bits = first_byte.bit_length()
+    most = min(length, (62 - bits) // 9)
+    rank, size, met = np.zeros(n, dtype=np.int64), 0, np.zeros(n, dtype=np.int64)
+    plain, number = np.where(marks, 0, symbols - first_byte + 1), np.where(marks, symbols + 1, 0)
+    while size < most:
+        later = np.zeros(n, dtype=np.int64)
+        later[: n - size] = plain[size:]
+        rank = (rank << 9) | np.where(met > 0, 0, later)
+        later[:] = 0
+        later[: n - size] = number[size:]
+        met = np.where(met > 0, met, later)
+        size += 1
+    longer = rank << bits | met
+    order = np.argsort(longer)
+    rank = _ranked(longer, order)
+    by_length = None
     while True:
-        sorted_rank = rank[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], (np.diff(sorted_rank) != 0).astype(np.int64))))
         distinct = int(rank[order[-1]]) + 1
         if by_length is None and (2 * size >= length or distinct == n):
             # the first ``length`` symbols are the first and the last ``size`` of them, which overlap
@@ -38,11 +57,17 @@ def suffix_order(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
             return order, by_length
         tail = np.full(n, -1, dtype=np.int64)
         tail[: n - size] = rank[size:]
-        rank = rank * (n + 1) + tail + 1
-        order = np.argsort(rank, kind="stable")
+        longer = rank * (n + 1) + tail + 1
+        order = np.argsort(longer)
+        rank = _ranked(longer, order)
         size *= 2
 
 
+def _counting(sizes: np.ndarray) -> np.ndarray:
+    """0 .. size - 1 for each size, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
 class RunIndex:
     def __init__(self, pieces: list[bytes], keys: np.ndarray, starts: np.ndarray, length: int):
         """``keys`` and ``starts`` say where a piece comes from: places are ordered by both."""
@@ -54,7 +79,7 @@ class RunIndex:
         text = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
         symbols = text.astype(np.int64) + k
         symbols[ends] = np.arange(k)
-        order, by_length = suffix_order(symbols, length)
+        order, by_length = suffix_order(symbols, k, length)
         before = symbols[order - 1]  # of the first suffix: the last end mark
         heads = np.flatnonzero(np.concatenate(([True], np.diff(before) != 0)))
         self.run_start, self.run_symbol = heads, before[heads]
@@ -70,18 +95,20 @@ class RunIndex:
     def _classes(self, order: np.ndarray, classes: np.ndarray, ends: np.ndarray) -> None:
         heads = np.flatnonzero(np.concatenate(([True], np.diff(classes) != 0)))
         size = np.diff(np.append(heads, len(order)))
-        piece = np.searchsorted(self.begins, order, side="right") - 1
-        place = self.starts[piece] + order - self.begins[piece]
-        whole = ends[piece] - order >= self.length
-        # order of origin as one number: places sorted by key, then start
-        origin = np.empty(len(order), dtype=np.int64)
-        origin[np.lexsort((place, self.keys[piece]))] = np.arange(len(order))
-        wanted = (size > 1) & whole[heads]
-        least = np.minimum.reduceat(origin, heads)[wanted]
-        back = np.empty(len(order), dtype=np.int64)
-        back[origin] = np.arange(len(order))
-        self.class_start, self.class_size = heads[wanted], size[wanted]
-        self.class_key, self.class_place = self.keys[piece][back[least]], place[back[least]]
+        wanted = size > 1
+        first = order[heads[wanted]]
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
+        whole = ends[owner[first]] - first >= self.length
+        self.class_start, self.class_size = heads[wanted][whole], size[wanted][whole]
+        # order of origin as one number: key, then place
+        names, ranks = np.unique(self.keys, return_inverse=True)
+        inside = np.repeat(self.class_start, self.class_size) + _counting(self.class_size)
+        places = order[inside]
+        piece = owner[places]
+        origin = ranks.astype(np.int64)[piece] << 32 | (self.starts[piece] + places - self.begins[piece])
+        bounds = np.concatenate(([0], np.cumsum(self.class_size)[:-1])).astype(np.int64)
+        least = np.minimum.reduceat(origin, bounds) if len(origin) else origin
+        self.class_key, self.class_place = names[least >> 32], least & ((1 << 32) - 1)
 
     def step(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the suffixes one symbol longer, and whether that symbol is an end mark."""
