@@ -69,14 +69,18 @@ def word_hashes(data: bytes) -> np.ndarray:
 
 def shingles(data: bytes, n: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of n words; of the whole sequence if it is shorter."""
-    words = word_hashes(data)
+    return shingles_of(word_hashes(data), n)[0]
+
+
+def shingles_of(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from hashes of words, and for each run the first word it begins at."""
     if not len(words):
-        return words
+        return words, np.empty(0, dtype=np.int64)
     width = min(n, len(words))
     runs = np.full(len(words) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         runs = runs * _ODD + words[i : len(words) - width + 1 + i]
-    return np.unique(mix64(runs))
+    return np.unique(mix64(runs), return_index=True)
 
 
 def utf8(text: str | None) -> bytes:

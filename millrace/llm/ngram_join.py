@@ -5,13 +5,14 @@ transpose counts the n-grams that two documents share. Only a few entries of the
 that follow from the set sizes say which:
 
 1. Documents with equal sets are one row, whatever their number.
-2. Two sets of Jaccard similarity s share at least s times the larger set. So they share one
-   of the first ``size - ceil(s * size) + 1`` n-grams of each, in any common order. Rare
-   n-grams come first in the order; a counting sketch of fixed size says how rare they are, and errs
-   only in cost.
-3. A column that two or more rows have among their first ones has its smallest row as leader,
-   and its rows meet in the leader's block. A block with too many rows or n-grams is cut into
-   parts, and all pairs of parts are multiplied, each in a task of its own.
+2. Two sets of Jaccard similarity s share at least s times the larger set. So they share ``MEET``
+   of the first ``size - ceil(s * size) + MEET`` n-grams of each, in any common order. Rare
+   n-grams come first in the order; counting sketches of fixed size, of n-grams and of words, say
+   how rare they are, and err only in cost.
+3. Columns of up to ``SMALL_COLUMN`` rows list their pairs of fitting sizes, which are counted over columns; pairs
+   that meet too seldom are dropped. The smallest row of a pair leads a block with all its partners. The
+   rows of a larger column meet in a block as they are. A block with too many rows
+   or n-grams is cut into parts, and all pairs of parts are multiplied, each in a task of its own.
 4. Within a product, overlap counts grow column by column, rare ones first. A pair that cannot reach
    its bound with the columns that are left is dropped, and so are rows without a pair.
 
@@ -25,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import columns_of, narrow, partitions, rows_batch, shingles, stage, utf8
+from millrace.llm.common import columns_of, narrow, partitions, rows_batch, shingles, shingles_of, stage, utf8, word_hashes
 from millrace.llm.components import components
 
 WORDS = 3
@@ -34,34 +35,62 @@ SKETCH_BITS = 20
 SKETCH_BLOCK = 4096
 BLOCK_ROWS, BLOCK_GRAMS = 2048, 2_000_000
 CELLS = 4_000_000
+SMALL_COLUMN = 32
+MEET = 3
 
 
-def rarity(df: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """A level for each of ``2**bits`` places that n-grams hash to: the higher, the more common.
+def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
-    The counters have a fixed size, are summed over tasks in blocks, and arrive as a byte each.
+
+class Rarity:
+    """How common an n-gram is, on a logarithmic scale; 0 for those that nothing tells from single ones.
+
+    Two estimates, of which the larger counts: from the n-gram's own counter, as far as it
+    stands out from the average load of a counter, and from the shares of its words in the text.
+    """
+
+    def __init__(self, grams: np.ndarray, words: np.ndarray, bits: int):
+        load = float(np.median(grams))
+        self.grams = np.round(4 * np.log2(1 + np.maximum(0, grams - load - 4 * np.sqrt(load)))).astype(np.uint8)
+        self.words = np.round(4 * np.log2(np.maximum(1, words))).astype(np.uint8)
+        self.total, self.bits = 4 * np.log2(max(1.0, float(words.sum()))), bits
+
+    def levels(self, grams: np.ndarray, first: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
+        width = min(n, len(words))
+        share = self.words[_places(words, self.bits)] - self.total
+        expected = np.full(len(grams), self.total)
+        for i in range(width):
+            expected += share[first + i]
+        return np.maximum(self.grams[_places(grams, self.bits)], np.maximum(0, np.round(expected))).astype(np.int64)
+
+
+def rarity(df: DataFrame, words: int, bits: int = SKETCH_BITS) -> Rarity:
+    """Counters for n-grams (once a text) and words (every time), ``2**bits`` each.
+
+    They have a fixed size, are summed over tasks in blocks, and arrive as a byte each.
     """
 
     def count(batches):
-        seen = np.zeros(1 << bits, dtype=np.uint32)
+        seen = np.zeros((2, 1 << bits), dtype=np.uint32)
         for b in batches:
-            found = [shingles(utf8(t), words) for t in b.column(0).to_pylist()]
+            found = [word_hashes(utf8(t)) for t in b.column(0).to_pylist()]
             if found:
-                places = (np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
-                seen += np.bincount(places, minlength=1 << bits).astype(np.uint32)
-        for block in range(len(seen) // SKETCH_BLOCK):
-            part = seen[block * SKETCH_BLOCK : (block + 1) * SKETCH_BLOCK]
+                grams = np.concatenate([shingles_of(w, words)[0] for w in found])
+                for i, hashes in enumerate((grams, np.concatenate(found))):
+                    seen[i] += np.bincount(_places(hashes, bits), minlength=1 << bits).astype(np.uint32)
+        for block, part in enumerate(seen.reshape(-1, min(SKETCH_BLOCK, 1 << bits))):
             if part.any():
                 yield rows_batch([(block, zlib.compress(part.tobytes(), 1))], "block int, counts binary")
 
     def added(key, table):
         import pyarrow as pa
 
-        total = np.zeros(SKETCH_BLOCK, dtype=np.uint32)
+        total = 0
         for c in table.column("counts").to_pylist():
-            part = np.frombuffer(zlib.decompress(c), dtype=np.uint32)
-            total = np.where(total > ~part, ~np.uint32(0), total + part)  # full counters stay full
-        row = (key[0].as_py(), zlib.compress(total.tobytes(), 1))
+            # full counters stay full
+            total = np.minimum(total + np.frombuffer(zlib.decompress(c), dtype=np.uint32).astype(np.uint64), 2**32 - 1)
+        row = (key[0].as_py(), zlib.compress(total.astype(np.uint32).tobytes(), 1))
         return pa.Table.from_batches([rows_batch([row], "block int, counts binary")])
 
     parts = narrow(df, "text").mapInArrow(count, "block int, counts binary")
@@ -69,12 +98,10 @@ def rarity(df: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.ndarray:
     salted = parts.withColumn("salt", F.spark_partition_id() % 64)
     first = salted.groupBy("block", "salt").applyInArrow(added, "block int, counts binary")
     summed = first.groupBy("block").applyInArrow(added, "block int, counts binary")
-    levels = np.zeros(1 << bits, dtype=np.uint8)
+    counts = np.zeros((2, 1 << bits), dtype=np.uint32).reshape(-1, min(SKETCH_BLOCK, 1 << bits))
     for row in summed.collect():
-        counts = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
-        block = slice(row["block"] * SKETCH_BLOCK, (row["block"] + 1) * SKETCH_BLOCK)
-        levels[block] = np.round(4 * np.log2(1 + counts.astype(np.float64)))
-    return levels
+        counts[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), dtype=np.uint32)
+    return Rarity(*counts.reshape(2, -1), bits)
 
 
 def least_shared(size, percent: int):
@@ -82,22 +109,27 @@ def least_shared(size, percent: int):
     return (percent * size + 99) // 100
 
 
-def _rows(df: DataFrame, levels, words: int, percent: int, bits: int) -> DataFrame:
+def least_meets(size, percent: int):
+    """How many of their first n-grams two linked sets share, if this is the size of the smaller one."""
+    return np.minimum(MEET, least_shared(size, percent))
+
+
+def _rows(df: DataFrame, rare: Rarity, words: int, percent: int) -> DataFrame:
     """``(doc_id, n, digest, first)``: size and digest of each set, and its first n-grams in the order."""
-    held = df.sparkSession.sparkContext.broadcast(levels)
+    held = df.sparkSession.sparkContext.broadcast(rare)
     result = "doc_id long, n long, digest binary, first binary"
 
     def run(batches):
         for b in batches:
             out = []
             for doc_id, text in zip(*columns_of(b), strict=True):
-                grams = shingles(utf8(text), words)
+                hashes = word_hashes(utf8(text))
+                grams, begins = shingles_of(hashes, words)
                 digest = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
-                n = len(grams)
-                first = grams[:0]
+                n, first = len(grams), grams[:0]
                 if n:
-                    rare = held.value[(grams >> np.uint64(64 - bits)).astype(np.int64)]
-                    first = grams[np.argsort(rare, kind="stable")[: n - least_shared(n, percent) + 1]]
+                    level = held.value.levels(grams, begins, hashes, words)
+                    first = grams[np.argsort(level, kind="stable")[: n - least_shared(n, percent) + least_meets(n, percent)]]
                 out.append((doc_id, n, digest, first.tobytes()))
             yield rows_batch(out, result)
 
@@ -230,11 +262,43 @@ def _spread(words: int):
     return run, result
 
 
+def _pairs(percent: int):
+    """Rows of small columns to their pairs: ``(a, b, n_a, n_b)``, a under b, sizes within the bound."""
+    result = "a long, b long, n_a long, n_b long"
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for (members,) in zip(*columns_of(batch), strict=True):
+                rows = sorted((m["node"], m["n"]) for m in members)
+                for i, (a, n) in enumerate(rows):
+                    out += [(a, b, n, m) for b, m in rows[i + 1 :] if a < b and 100 * min(n, m) >= percent * max(n, m)]
+            yield rows_batch(out, result)
+
+    return run, result
+
+
+def _members(rows: DataFrame, percent: int) -> DataFrame:
+    """``(leader, node, n)``: blocks whose rows have to be multiplied with each other."""
+    columns = _columns(rows)
+    counted = columns.groupBy("gram").agg(F.min("node").alias("leader"), F.count("*").alias("k")).where("k > 1")
+    shared = stage(columns.join(counted, "gram"), "join-columns")
+    small = shared.where(F.col("k") <= SMALL_COLUMN).groupBy("gram").agg(F.collect_list(F.struct("node", "n")).alias("m"))
+    run, result = _pairs(percent)
+    size = F.least("n_a", "n_b")
+    least = F.least(F.lit(MEET), F.floor((size * percent + 99) / 100))
+    pairs = small.select("m").mapInArrow(run, result).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("meets"))
+    led = stage(pairs.where(F.col("meets") >= least), "join-pairs")
+    large = shared.where(F.col("k") > SMALL_COLUMN).select("leader", "node", "n")
+    every = large.unionByName(led.selectExpr("a AS leader", "b AS node", "n_b AS n")).unionByName(
+        led.selectExpr("a AS leader", "a AS node", "n_a AS n")
+    )
+    return stage(every.groupBy("leader", "node").agg(F.max("n").alias("n")), "join-blocks")
+
+
 def links(texts: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """``(a, b)``: spanning forests of the links between ``rows`` of different sets."""
-    columns = _columns(rows)
-    leaders = columns.groupBy("gram").agg(F.min("node").alias("leader"), F.count("*").alias("k")).where("k > 1")
-    members = stage(columns.join(leaders.select("gram", "leader"), "gram").groupBy("leader", "node").agg(F.first("n").alias("n")), "join-blocks")
+    members = _members(rows, percent)
     sizes = members.groupBy("leader").agg(F.count("*").alias("rows"), F.sum("n").alias("grams")).where("rows > 1")
     parts = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
     placed = members.join(sizes.select("leader", parts.alias("parts")), "leader").select(
@@ -261,8 +325,7 @@ def join(
     of n-grams are linked whatever their order. An empty table gives no rows.
     """
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    levels = rarity(texts, words, sketch_bits)
-    rows = stage(_rows(texts, levels, words, percent, sketch_bits), "join-rows")
+    rows = stage(_rows(texts, rarity(texts, words, sketch_bits), words, percent), "join-rows")
     sets = rows.where("n > 0 and doc_id is not null")
     classes = stage(
         sets.groupBy("digest", "n").agg(F.min(F.struct("doc_id", "first")).alias("least"))
