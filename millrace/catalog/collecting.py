@@ -1,5 +1,10 @@
 """Sources, sinks and collectors."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from millrace.catalog import sql
 from millrace.catalog.shaping import REPLIES
 from millrace.operators import augmenting, collect, evaluating, splitting
@@ -59,7 +64,12 @@ def split_sink(spark, sf_dir):
     path = scratch_dir(spark, "splits")
     split = splitting.stratified_split(bindings.language_strata(spark, sf_dir))
     jsonl.write_splits(splitting.with_split_order(split), path, order_by="order_key")
-    return jsonl.read_split(spark, path, "val", "row_id bigint, domain string, text string")
+    schema = "row_id bigint, domain string, text string"
+    parts = [
+        jsonl.read_split(spark, path, name, schema).withColumn("split", F.lit(name))
+        for name in ("train", "val", "test")
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def report_sink(spark, sf_dir):
@@ -100,7 +110,7 @@ SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id,
     "jsonl_round_trip": f"WITH {sql.MIXED} SELECT * FROM mixed",
     "usage_log_append": f"WITH {sql.SUPPORT} {_USAGE} UNION ALL {_USAGE}",
     "split_sink": f"""WITH {sql.STRATA_SPLIT}
-SELECT row_id, domain, text FROM split_rows WHERE split = 'val'""",
+SELECT row_id, domain, text, split FROM split_rows""",
     "sampled_documents": f"""SELECT doc_id AS row_id, text FROM documents
 ORDER BY {sql.shuffle_key(42, 'doc_id')} LIMIT 300""",
     "collected_legal": f"""WITH {sql.LEGAL}

@@ -89,7 +89,8 @@ ks AS (
 ks_p AS (
   SELECT *, CASE WHEN l < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, 2 * list_sum(list_transform(range(1, 101),
       lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * l * l))))) END AS p_value
-  FROM (SELECT *, ks * sqrt(train_rows::DOUBLE * live_rows / (train_rows + live_rows)) AS l FROM ks)),
+  FROM (SELECT *, ks * (s + 0.12 + 0.11 / s) AS l
+    FROM (SELECT *, sqrt(train_rows::DOUBLE * live_rows / (train_rows + live_rows)) AS s FROM ks))),
 oov AS (
   SELECT k, count(*) AS live_words, count(*) FILTER (known IS NULL) AS unseen_words
   FROM (SELECT k, unnest(w) AS word FROM keyed WHERE is_live = 1)

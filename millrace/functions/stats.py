@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 
 def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sided p-value of the two-sample KS statistic ``d``.
+    """Two-sided p-value of the two-sample KS statistic ``d``.
 
-    2 * sum over k of (-1)^(k-1) exp(-2 k^2 L^2), with L = d * sqrt(n m / (n + m)).
+    2 * sum over k of (-1)^(k-1) exp(-2 k^2 L^2), with Stephens' argument
+    L = d * (s + 0.12 + 0.11 / s), s = sqrt(n m / (n + m)), which holds for small samples too.
     """
     n, m = n.cast("double"), m.cast("double")
-    scaled = d * F.sqrt(n * m / (n + m))
+    root = F.sqrt(n * m / (n + m))
+    scaled = d * (root + 0.12 + 0.11 / root)
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),

@@ -52,3 +52,8 @@ def evaluated_once(value: Column, use: Callable[[Column], Column]) -> Column:
     A lambda variable holds the value, where plain composition would repeat its expression.
     """
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def named_domain(domain: Column) -> Column:
+    """The stratum of a row: "unknown" stands for a missing domain, an empty one is its own."""
+    return F.coalesce(domain, F.lit("unknown"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.prose_json import bracketed, string_at, strict_json
 from millrace.functions.seeded import leading_number, seeded_hash
-from millrace.functions.text import known_domain
+from millrace.functions.text import named_domain
 from millrace.operators.ranking import group_profiles, keyed, rows_at_ranks
 from millrace.session import broadcast_if_small
 
@@ -41,7 +41,7 @@ def few_shot_samples(
     A call names ranks in its domain's seeded order and only the rows at those ranks are
     looked up; rows and calls are never paired off.
     """
-    rows = keyed(train.withColumn("domain", known_domain(F.col("domain"))), seed, row_id)
+    rows = keyed(train.withColumn("domain", named_domain(F.col("domain"))), seed, row_id)
     profiles = group_profiles(rows, ["domain"])
     by_name = (F.row_number().over(Window.orderBy("domain")) - 1).cast("long")
     numbered = profiles.select("domain").withColumn("domain_no", by_name)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.functions.seeded import leading_number
 from millrace.functions.text import words
 from millrace.operators.ranking import with_rank
+from millrace.session import stage
 
 # Fixed value: label of a position that the loss ignores.
 IGNORED = -100
@@ -33,9 +34,10 @@ def collate(
 ) -> DataFrame:
     """Put rows into batches in seeded order, cut to ``max_length``, pad to the longest.
 
-    Ranks and batch lengths are worked out on (id, length) alone. The token arrays move
-    once, to meet their row's batch.
+    The token arrays are written once, so no text is tokenized again. Ranks and batch lengths
+    are worked out on (id, length) alone. The arrays move once, to meet their row's batch.
     """
+    df = stage(df.select(row_id, ids), "token-ids")
     lengths = df.select(row_id, F.least(F.size(ids), F.lit(max_length)).alias("n_ids"))
     placed = with_rank(lengths, seed, row_id=row_id).withColumn(
         "batch", F.floor((F.col("rank") - 1) / batch_size)

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.seeded import required
 from millrace.functions.text import squeeze_space
 from millrace.operators.records import content_columns
 from millrace.session import stage
@@ -23,11 +24,12 @@ def deduplicate(df: DataFrame, row_id: str = "row_id", staged: bool = False) ->
     Only (key, id) is aggregated, with partial aggregation, so a key that a third of the rows
     share costs one row per task; the text moves once, by its unique id. ``staged`` first
     writes the input with its keys, so that costly upstream work runs once, not per side.
+    A null id fails the job.
     """
     rows = df.withColumn("dedup_key", dedup_key(df, row_id))
     if staged:
         rows = stage(rows, "dedup")
-    first = rows.groupBy("dedup_key").agg(F.min(row_id).alias(row_id)).select(row_id)
+    first = rows.groupBy("dedup_key").agg(F.min(required(row_id)).alias(row_id)).select(row_id)
     return rows.drop("dedup_key").join(first, row_id, "left_semi")
 
 

@@ -10,7 +10,7 @@ Group columns must not be null.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.seeded import leading_number, seeded_hash
+from millrace.functions.seeded import leading_number, required, seeded_hash
 from millrace.session import broadcast_if_small
 
 KEY = "shuffle_key"
@@ -18,9 +18,9 @@ BUCKET = "shuffle_bucket"
 
 
 def keyed(df: DataFrame, seed: int, row_id: str = "row_id", digits: int = 3) -> DataFrame:
-    """Add the seeded sort key, unique per row, and its bucket."""
-    hashed = seeded_hash(seed, F.col(row_id))
-    return df.withColumn(KEY, F.concat_ws(":", hashed, F.col(row_id).cast("string"))).withColumn(
+    """Add the seeded sort key, unique per row, and its bucket. A null id fails the job."""
+    row = required(row_id)
+    return df.withColumn(KEY, F.concat_ws(":", seeded_hash(seed, row), row.cast("string"))).withColumn(
         BUCKET, leading_number(F.col(KEY), digits)
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.seeded import seeded_hash
-from millrace.functions.text import known_domain
+from millrace.functions.text import named_domain
 from millrace.operators.ranking import KEY, BUCKET, group_profiles, keyed, rows_at_ranks
 from millrace.session import broadcast_if_small
 
@@ -21,7 +21,7 @@ def stratified_split(
     A row's side follows from comparing its sort key with the keys at the two cut ranks of
     its domain. Finding them reads only domain and id; the rows themselves are not shuffled.
     """
-    rows = keyed(df.withColumn("stratum", known_domain(F.col("domain"))), seed, row_id)
+    rows = keyed(df.withColumn("stratum", named_domain(F.col("domain"))), seed, row_id)
     by = ["stratum"]
     n_train = F.floor(F.col("group_rows") * F.lit(float(train_frac)))
     n_val = F.floor(F.col("group_rows") * F.lit(float(val_frac)))
@@ -59,7 +59,7 @@ def with_split_order(df: DataFrame, seed: int = 42, row_id: str = "row_id") -> D
 
 
 def split_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy(known_domain(F.col("domain")).alias("domain"), "split").agg(
+    return df.groupBy(named_domain(F.col("domain")).alias("domain"), "split").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
 

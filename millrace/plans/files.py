@@ -1,34 +1,59 @@
 """The steps as file-to-file jobs: JSON Lines in, JSON Lines or a report out."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from millrace.operators import dedup, drift, evaluating, formatting, quality, scrub, splitting
 from millrace.session import stage
 from millrace.sources import jsonl, schemas
 
-_RAW = schemas.RAW_MIXED.removeprefix("row_id bigint, ")
 
+def records(spark: SparkSession, paths: str | list[str], schema: str | StructType | None = None) -> DataFrame:
+    """Records of any shape, with every key they have.
+
+    Without a declared ``schema`` all input is read for its keys and types first; a key with
+    numbers in some records and strings in others is read as string. A malformed line fails the
+    job. Records without ``row_id`` are numbered in path and line order.
+    """
+    if schema is None:
+        schema = spark.read.option("mode", "FAILFAST").json(paths).schema
+    rows = jsonl.read_jsonl(spark, paths, schema)
+    return rows if "row_id" in rows.columns else jsonl.number_rows(rows)
+
+
+def _with_strings(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Make sure of string columns: absent ones, and those of another type, count as missing."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    odd = [n for n in names if not isinstance(kinds.get(n), StringType)]
+    return rows.withColumns({n: F.lit(None).cast("string") for n in odd})
 
-def scrub_files(spark: SparkSession, in_glob: str, out: str) -> None:
-    """Raw files in path order; every record gets its number as ``row_id`` here."""
-    raw = jsonl.number_rows(jsonl.read_jsonl(spark, in_glob, _RAW))
-    jsonl.write_jsonl(scrub.scrub_records(raw), out)
 
+def scrub_files(spark: SparkSession, in_glob: str, out: str, schema: str | StructType | None = None) -> None:
+    """Raw files in path order; every record gets its number as ``row_id`` here, unless it has one."""
+    jsonl.write_jsonl(scrub.scrub_records(records(spark, in_glob, schema)), out)
 
-def dedup_files(spark: SparkSession, inp: str, out: str) -> None:
-    jsonl.write_jsonl(dedup.deduplicate(jsonl.read_jsonl(spark, inp, schemas.RAW_MIXED)), out)
+
+def dedup_files(spark: SparkSession, inp: str, out: str, schema: str | StructType | None = None) -> None:
+    jsonl.write_jsonl(dedup.deduplicate(records(spark, inp, schema)), out)
 
 
 def filter_files(
-    spark: SparkSession, inp: str, out: str, min_chars: int = 30, max_chars: int = 8000
+    spark: SparkSession,
+    inp: str,
+    out: str,
+    min_chars: int = 30,
+    max_chars: int = 8000,
+    schema: str | StructType | None = None,
 ) -> None:
-    rows = jsonl.read_jsonl(spark, inp, schemas.RAW_MIXED)
+    rows = records(spark, inp, schema)
     jsonl.write_jsonl(quality.keep_good(rows, min_chars=min_chars, max_chars=max_chars), out)
 
 
-def format_files(spark: SparkSession, inp: str, out: str) -> None:
-    rows = jsonl.read_jsonl(spark, inp, schemas.RAW_MIXED)
-    jsonl.write_jsonl(formatting.format_records(rows), out)
+def format_files(spark: SparkSession, inp: str, out: str, schema: str | StructType | None = None) -> None:
+    """Records whose domain's columns are missing or no strings are left out."""
+    needed = [f.name for f in StructType.fromDDL(schemas.RAW_MIXED).fields if f.name != "row_id"]
+    jsonl.write_jsonl(formatting.format_records(_with_strings(records(spark, inp, schema), needed)), out)
 
 
 def split_files(
@@ -38,9 +63,10 @@ def split_files(
     train_frac: float = 0.8,
     val_frac: float = 0.1,
     seed: int = 42,
+    schema: str | StructType | None = None,
 ) -> None:
-    examples = jsonl.read_jsonl(spark, inp, schemas.EXAMPLE)
-    split = splitting.stratified_split(examples, train_frac, val_frac, seed)
+    examples = _with_strings(records(spark, inp, schema), ["domain"])
+    split = splitting.stratified_split(stage(examples, "examples"), train_frac, val_frac, seed)
     jsonl.write_splits(splitting.with_split_order(split, seed), out_dir, order_by="order_key")
 
 

@@ -1,12 +1,12 @@
 """Shared-folder scratch space and size-checked broadcasts."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64_000_000
 
 # Runtime settings that suit the jobs. Adaptive execution may then hash instead of sort where
 # every partition of a join's narrow side has turned out small, as in the dedup semi-join:
@@ -25,16 +25,10 @@ def tune(spark: SparkSession) -> None:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """A new folder name under the cluster's shared ``spark.checkpoint.dir``."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="millrace-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/millrace-{purpose}-{uuid.uuid4().hex}"
 
 
@@ -51,13 +45,18 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
 
 def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
     """Whether a table has few enough rows to broadcast; counted, not estimated."""
-    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
+    bound = BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast a computed dimension only after counting it.
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a computed dimension only after its rows and bytes have been counted.
 
-    Above the bound the table is returned as it is and the join shuffles.
+    The table is written to the shared folder first, so it is computed once and nothing stays
+    cached. Above either bound it is returned as it is and the join shuffles.
     """
-    held = df.persist()
-    return F.broadcast(held) if is_small(held, max_rows) else held
+    held = stage(df, "small")
+    if not is_small(held, max_rows):
+        return held
+    written = held.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(held) if written <= max_bytes else held

@@ -21,21 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give a scan of fewer splits than cores one partition per core, for costly text work.
 
     Scans of larger data have splits enough and stay as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(
         table(spark, sf_dir, "documents").select(
             F.col("doc_id").alias("row_id"), "text", "lang", "source"
-        ),
-        "row_id",
+        )
     )
 
 
@@ -47,8 +46,7 @@ def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(
         table(spark, sf_dir, "pages").select(
             F.col("page_id").alias("row_id"), F.col("html").alias("text")
-        ),
-        "row_id",
+        )
     )
 
 
@@ -70,7 +68,7 @@ def medical_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def support_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that follows."""
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    turns = spread(table(spark, sf_dir, "conversations"))
     asked = turns.where("role = 'user'").select(
         "conv_id", "turn", (F.col("turn") + 1).alias("next_turn"), F.col("text").alias("instruction")
     )

@@ -15,8 +15,8 @@ SALTS = 8
 
 
 def usage_stream(spark: SparkSession, path: str) -> DataFrame:
-    """New JSON Lines parts of the log folder as they arrive."""
-    return spark.readStream.schema(USAGE).json(path)
+    """New JSON Lines parts of the log folder as they arrive; a malformed line fails the stream."""
+    return spark.readStream.schema(USAGE).option("mode", "FAILFAST").json(path)
 
 
 def _with_known(spread: DataFrame, vocabulary: DataFrame) -> DataFrame:

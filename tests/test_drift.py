@@ -23,7 +23,8 @@ def brute(train, live):
     ks = max(abs(sum(x <= c for x in a) / len(a) - sum(x <= c for x in b) / len(b)) for c in {*a, *b})
     vocab = {w for t in train for w in tokens(t)}
     used = [w for t in live for w in tokens(t)]
-    scaled = ks * math.sqrt(len(a) * len(b) / (len(a) + len(b)))
+    root = math.sqrt(len(a) * len(b) / (len(a) + len(b)))
+    scaled = ks * (root + 0.12 + 0.11 / root)
     p = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * scaled * scaled) for k in range(1, 101))
     p = 1.0 if scaled < 0.2 else min(1.0, max(0.0, p))
     return ks, p, sum(w not in vocab for w in used) / max(len(used), 1)
@@ -75,4 +76,28 @@ def test_drift_per_domain(spark):
 def test_p_value_limits(spark):
     df = spark.createDataFrame([(0.0, 50, 50), (1.0, 5000, 5000), (0.2, 50, 50)], "d double, n bigint, m bigint")
     values = [r[0] for r in df.select(ks_p_value(df.d, df.n, df.m)).collect()]
-    assert values[0] == 1.0 and values[1] == 0.0 and values[2] == pytest.approx(0.2699996)
+    assert values[0] == 1.0 and values[1] == 0.0 and values[2] == pytest.approx(0.2407920)
+
+
+def exact_p(n, m, gap):
+    """Chance of a largest gap of at least ``gap``, by counting the paths that stay under it."""
+    from fractions import Fraction
+
+    bound = round(gap * n * m)
+    row = [0] * (m + 1)
+    for i in range(n + 1):
+        for j in range(m + 1):
+            inside = abs(i * m - j * n) < bound
+            before = (row[j] if i else 0) + (row[j - 1] if j else 0)
+            row[j] = (before if i or j else 1) if inside else 0
+    return float(1 - Fraction(row[m], math.comb(n + m, n)))
+
+
+def test_p_value_of_few_live_rows(spark):
+    cases = [(0.30, 1000, 30), (0.32, 200, 30), (0.25, 1000, 30), (0.35, 60, 40)]
+    df = spark.createDataFrame(cases, "d double, n long, m long")
+    values = [r[0] for r in df.select(ks_p_value(df.d, df.n, df.m)).collect()]
+    for value, (d, n, m) in zip(values, cases, strict=True):
+        # a sample reaches d at multiples of 1 / (n m) only
+        exact = exact_p(n, m, math.ceil(d * n * m - 1e-6) / (n * m))
+        assert value == pytest.approx(exact, rel=0.15) and (value < 0.01) == (exact < 0.01)

@@ -60,3 +60,33 @@ def test_raw_files_to_splits_report_and_drift(spark, tmp_path):
     append_usage(live, str(tmp_path / "usage"))
     verdict = files.drift_files(spark, at["splits"], str(tmp_path / "usage")).first()
     assert verdict.status == "drift" and verdict.train_rows == 38 and verdict.oov_rate == 1.0
+
+
+def test_records_of_any_shape_pass_through(spark, tmp_path):
+    """Keys that no domain declares are kept, count for the dedup key, and numbers stay numbers."""
+    lines = [{"domain": "other", "q": f"question number {w} with enough letters", "n": i} for i, w in enumerate(TOPICS)]
+    write_lines(tmp_path / "in.jsonl", [*lines, {"domain": "third", "q": lines[2]["q"], "n": 2}, {"domain": "other", "q": "x"}])
+    at = {n: str(tmp_path / n) for n in ("scrubbed", "deduped", "filtered")}
+    files.scrub_files(spark, str(tmp_path / "in.jsonl"), at["scrubbed"])
+    files.dedup_files(spark, at["scrubbed"], at["deduped"])
+    files.filter_files(spark, at["deduped"], at["filtered"])
+    counts = [files.records(spark, at[n]).count() for n in ("scrubbed", "deduped", "filtered")]
+    assert counts == [10, 9, 8]
+    kept = {(r.row_id, r.domain, r.q, r.n) for r in files.records(spark, at["filtered"]).collect()}
+    assert kept == {(i, r["domain"], r["q"], r["n"]) for i, r in enumerate(lines)}
+
+
+def test_jobs_number_records_without_ids(spark, tmp_path):
+    rows = [{"domain": "d", "instruction": "i", "input": f"text {i}", "output": "o"} for i in range(100)]
+    write_lines(tmp_path / "in.jsonl", rows)
+    files.dedup_files(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "deduped"))
+    assert files.records(spark, str(tmp_path / "deduped")).count() == 100
+    files.split_files(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "splits"))
+    sizes = [jsonl.read_split(spark, str(tmp_path / "splits"), s, schemas.EXAMPLE).count() for s in ("train", "val", "test")]
+    assert sizes == [80, 10, 10]
+
+
+def test_values_that_are_no_strings_are_not_formatted(spark, tmp_path):
+    write_lines(tmp_path / "a.jsonl", [{"domain": "support", "ticket": 5, "resolution": "done"}])
+    files.format_files(spark, str(tmp_path / "a.jsonl"), str(tmp_path / "out"))
+    assert spark.read.schema(schemas.EXAMPLE).json(str(tmp_path / "out")).count() == 0

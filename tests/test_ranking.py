@@ -14,7 +14,7 @@ def key(row_id, seed=42):
 def expected_split(rows, train=0.8, val=0.1, seed=42):
     groups, out = {}, {}
     for row_id, domain in rows:
-        groups.setdefault(domain or "unknown", []).append(row_id)
+        groups.setdefault("unknown" if domain is None else domain, []).append(row_id)
     for members in groups.values():
         members.sort(key=lambda r: key(r, seed))
         n_train, n_val = int(len(members) * train), int(len(members) * val)
@@ -27,7 +27,7 @@ def split_of(df, **kw):
     return {r.row_id: r.split for r in splitting.stratified_split(df, **kw).collect()}
 
 
-# One domain holds most rows, one a single row, and null and empty ones fall together.
+# One domain holds most rows, one a single row, and null and empty ones are two.
 ROWS = (
     [(i, "hot") for i in range(9000)]
     + [(9000 + i, "mid") for i in range(137)]
@@ -66,7 +66,7 @@ def test_split_sizes_and_no_overlap(spark):
 
 
 def test_split_plan_does_not_shuffle_the_rows(spark):
-    df = spark.range(5000).selectExpr("id as row_id", "'a' as domain", "repeat('x', 50) as text")
+    df = spark.range(5000).selectExpr("id as row_id", "if(id % 2 = 0, 'a', 'b') as domain", "repeat('x', 50) as text")
     plan = splitting.stratified_split(df)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan.split("InMemoryRelation")[0]
 
@@ -135,3 +135,29 @@ def test_few_shot_samples_stay_in_one_domain_without_repeats(spark):
     assert sorted(samples) == sorted(again)
     prompts = augmenting.synthesis_prompts(augmenting.few_shot_samples(train, calls=4)).collect()
     assert len(prompts) == 4 and all("further records" in p.prompt for p in prompts)
+
+
+def test_null_ids_fail(spark):
+    from millrace.operators import dedup, splitting
+
+    rows = spark.createDataFrame([(None, "d", "a"), (1, "d", "b")], "row_id long, domain string, q string")
+    for job in (splitting.stratified_split, dedup.deduplicate):
+        with pytest.raises(Exception, match="row_id is null"):
+            job(rows).collect()
+
+
+def test_missing_and_empty_domains_are_two_strata(spark):
+    from millrace.operators import splitting
+
+    rows = spark.createDataFrame([(i, None if i < 10 else "") for i in range(20)], "row_id long, domain string")
+    got = {(r.domain, r.split): r.n_rows for r in splitting.split_counts(splitting.stratified_split(rows)).collect()}
+    assert got == {(d, s): n for d in ("unknown", "") for s, n in (("train", 8), ("val", 1), ("test", 1))}
+
+
+def test_nothing_stays_cached(spark):
+    from millrace.operators import splitting
+
+    rows = spark.range(50).selectExpr("id AS row_id", "'d' AS domain")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    splitting.stratified_split(rows).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
