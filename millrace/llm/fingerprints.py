@@ -14,7 +14,8 @@ Written form: number of kept hashes, bound and kept hashes in rising order, as h
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import code_points, columns_of, mix64, partitions, rows_batch, stage
@@ -149,58 +150,46 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated rows are documents of their own. The last row is followed by the first. A single
     row is its own next document. An empty table gives no rows.
 
-    The rows are dealt by ranges of the id, once. A range's first and last text are kept
-    aside, and each last one meets the first of the next range that has rows.
+    The rows are dealt by ranges of the id, once. The first text of a range is also sent to the range
+    before it, where it follows the last one.
     """
     spark = df.sparkSession
     rows = df.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    ordered = (
-        rows.repartitionByRange(partitions(spark), "id", F.xxhash64("text"))
-        .sortWithinPartitions("id", F.xxhash64("text"), "text")
-        .withColumn("part", F.spark_partition_id())
+    n = 4 * partitions(spark)
+    shares = [i / n for i in range(1, n)]
+    cuts = np.unique(rows.agg(F.percentile_approx("id", shares, 20 * n)).first()[0] or []).astype(np.int64)
+
+    @F.pandas_udf("int")
+    def bucket_of(ids: pd.Series) -> pd.Series:
+        # a null id is in the first range
+        found = np.searchsorted(cuts, ids.fillna(0).astype("int64").to_numpy(), side="left")
+        return pd.Series(np.where(ids.isna(), 0, found).astype(np.int32))
+
+    placed = rows.withColumn("bucket", bucket_of("id")).withColumn("guest", F.lit(0))
+    place = F.struct(F.col("id").isNotNull(), "id", F.xxhash64("text"), "text")
+    firsts = stage(
+        placed.groupBy("bucket").agg(F.min(place).alias("first")).select("bucket", F.col("first.id").alias("id"), F.col("first.text").alias("text")),
+        "range-firsts",
     )
+    present = sorted(r["bucket"] for r in firsts.select("bucket").collect())
+    if not present:
+        return spark.createDataFrame([], RESULT)
+    before = spark.createDataFrame([(b, present[i - 1]) for i, b in enumerate(present)], "bucket int, before int")
+    guests = firsts.join(before, "bucket").select("id", "text", F.col("before").alias("bucket"), F.lit(1).alias("guest"))
+    dealt = placed.unionByName(guests).repartition(partitions(spark), "bucket")
+    ordered = dealt.sortWithinPartitions("bucket", "guest", "id", F.xxhash64("text"), "text")
 
     def run(batches):
-        before, part, none = None, None, (None,) * 9
+        last = None
         for b in batches:
             out = []
-            for doc_id, text, part in zip(*columns_of(b), strict=True):
+            for bucket, guest, doc_id, text in zip(*columns_of(b), strict=True):
                 own = sketch(text)
-                if before is None:
-                    out.append((*none, part, 0, doc_id, text))
-                else:
-                    out.append((*_compared(*before, text, own), None, None, None, None))
-                before = (doc_id, text, own)
-            yield rows_batch(out, with_ends)
-        if before is not None:
-            yield rows_batch([(*none, part, 1, *before[:2])], with_ends)
-
-    with_ends = RESULT + ", part int, kind int, edge_id long, edge_text string"
-    found = stage(ordered.mapInArrow(run, with_ends), "fingerprints")
-    ends = found.where("kind is not null")
-    firsts = ends.where("kind = 0").select(
-        F.col("part").alias("at"), F.col("edge_text").alias("following")
-    )
-    # One row for each range, so the order of the ranges is settled over few narrow rows.
-    order = Window.orderBy("part")
-    nexts = (
-        ends.where("kind = 1").select("part")
-        .withColumn("after", F.lead("part").over(order))
-        .withColumn("first_part", F.min("part").over(Window.partitionBy()))
-        .select(F.col("part").alias("own_part"), F.coalesce("after", "first_part").alias("at"))
-    )
-    lasts = (
-        ends.where("kind = 1").select(F.col("part").alias("own_part"), "edge_id", "edge_text")
-        .join(nexts, "own_part").join(firsts, "at").select("edge_id", "edge_text", "following")
-    )
+                if last is not None and last[0] == bucket:
+                    out.append(_compared(*last[1:], text, own))
+                last = None if guest else (bucket, doc_id, text, own)
+            yield rows_batch(out, RESULT)
 
-    def close(batches):
-        for b in batches:
-            rows = [_compared(i, t, sketch(t), f, sketch(f)) for i, t, f in zip(*columns_of(b), strict=True)]
-            yield rows_batch(rows, RESULT)
-
-    return found.where("kind is null").drop("part", "kind", "edge_id", "edge_text").unionByName(
-        lasts.mapInArrow(close, RESULT)
-    )
+    return ordered.select("bucket", "guest", "id", "text").mapInArrow(run, RESULT)
