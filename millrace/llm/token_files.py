@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import columns_of, partitions, rows_batch, scratch_dir, stage
+from millrace.llm.common import partitions, rows_batch, scratch_dir, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -24,10 +24,11 @@ CACHE = 1_000_000
 SELECT_EVERY = 64
 NO_ID = -(1 << 63)
 
-# A blank between two characters that are no white space. The pre-tokenizer puts it in front of
-# the second, so the text may be cut there without changing any id.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_SPACE_RUN = re.compile(r"\s\s|^\s|\s$")
+# White space as bytes, controls that some classes count as such included, and the lead bytes of
+# characters beyond ASCII among which there is white space.
+_BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_MAY_BLANK = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+SLICE_BYTES = 8_000_000
 _ENCODERS = {}
 
 
@@ -92,13 +93,15 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of a text, found piece by piece.
 
-    Pieces between single blanks are encoded by the tokenizer once and then looked up. The
-    table is dropped when it holds ``CACHE`` pieces, so its memory is bounded. A piece that is a word of
-    Latin letters, with or without marks after it, is known to be one or two units of the
+    A text is cut in front of each blank or line feed between two characters that are no white
+    space: the pre-tokenizer parts them there too, so no id changes. Arrow numbers the pieces
+    of many texts; each distinct one is encoded once and then looked up. The table is
+    dropped when it holds ``CACHE`` pieces, so its memory is bounded. A piece that is a word of
+    Latin letters, with or without marks after it, is known to be one to three units of the
     pre-tokenizer; its units go straight to the tokenizer's model.
     """
 
-    WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+    WORD = re.compile(r"(\n?)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
@@ -110,14 +113,49 @@ class Encoder:
         plain = plain and not self.tokenizer.pre_tokenizer.add_prefix_space and isinstance(self.tokenizer.model, models.BPE)
         self.model = self.tokenizer.model if plain else None
         self.letters = _byte_letters()
+        self.units = {}
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        parts = _CUT.split(text) if _SPACE_RUN.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
-    def _unit(self, unit: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
+    def pieces(texts):
+        """Arrow array of the pieces of all texts, and where each text's pieces begin in it.
+
+        ``texts`` is an Arrow array of strings without nulls.
+        """
+        import pyarrow as pa
+
+        texts = texts.cast(pa.large_string())
+        _, offsets, data = texts.buffers()
+        at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.empty(0, np.uint8)
+        at = at - at[0]
+        cut = np.flatnonzero((raw == 32) | (raw == 10))
+        inside = (cut > 0) & (cut < len(raw) - 1)
+        cut = cut[inside]
+        before, after = raw[cut - 1], raw[cut + 1]
+        wide = _MAY_BLANK[after] | (before >= 128) & (_MAY_BLANK[raw[cut - 2]] | _MAY_BLANK[raw[np.maximum(cut - 3, 0)]])
+        cut = cut[~(_BLANK[before] | _BLANK[after] | wide)]
+        full = at[:-1][at[1:] > at[:-1]]
+        edge = np.zeros(len(raw) + 1, dtype=bool)
+        edge[cut] = True
+        # Neither the first nor the last character of a text lies between two others.
+        edge[at[1:][at[1:] > 0] - 1] = False
+        edge[full] = True
+        starts = np.flatnonzero(edge[: len(raw)])
+        ends = np.append(starts, len(raw)).astype(np.int64)
+        array = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw)))
+        return array, np.searchsorted(starts, at)
+
+    def _unit(self, unit: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]
+        return array(self.width.char, ids).tobytes()
+
+    def _marks(self, marks: str) -> bytes:
+        """Ids of a line feed or of marks after a word; there are few different ones."""
+        if len(self.units) > CACHE:
+            self.units = {}
+        if marks not in self.units:
+            self.units[marks] = self._unit(marks)
+        return self.units[marks]
 
     def _learn(self, new: list[str]) -> None:
         rest = new
@@ -128,20 +166,41 @@ class Encoder:
                 if not found:
                     rest.append(piece)
                     continue
-                ids = self._unit(found[1]) + (self._unit(found[2]) if found[2] else [])
-                self.known[piece] = array(self.width.char, ids).tobytes()
+                feed, word, marks = found.groups()
+                ids = self._unit(word)
+                if feed:
+                    ids = self._marks(feed) + ids
+                self.known[piece] = ids + self._marks(marks) if marks else ids
         for start in range(0, len(rest), 10_000):
             some = rest[start : start + 10_000]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.known[piece] = array(self.width.char, e.ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of ``width``."""
-        cut = [self.pieces(t) if t else [] for t in texts]
+    def encode(self, texts) -> list[bytes]:
+        """Ids of each text of an Arrow array or a list, as bytes of ``width``."""
+        import pyarrow as pa
+
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+        pieces, first = self.pieces(texts)
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.known) > CACHE:
             self.known = {}
-        self._learn(list(set().union(*cut).difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
+        self._learn([p for p in distinct if p not in self.known])
+        ids = pa.array(map(self.known.__getitem__, distinct), pa.large_binary(), size=len(distinct)).take(coded.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1][first].tolist() if len(ids) else [0] * len(first)
+        whole = memoryview(data) if data else memoryview(b"")
+        return [bytes(whole[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def slices(texts, limit: int = SLICE_BYTES):
+    """Bounds of consecutive runs of texts of about ``limit`` bytes; a long text is one by itself."""
+    import pyarrow.compute as pc
+
+    reach = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(reach)) + 1).tolist(), len(texts)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
 
 
 def encoder(path: str) -> Encoder:
@@ -191,11 +250,10 @@ def write_files(
             return rows_batch([row], SHARD)
 
         for b in batches:
-            keys, every, parts = columns_of(b)
-            part = parts[0] if parts else part
-            for start in range(0, len(keys), 256):
-                texts = every[start : start + 256]
-                for i, own in enumerate(coder.encode(texts), start):
+            keys, every, parts = b.column(0).to_pylist(), b.column(1), b.column(2)
+            part = parts[0].as_py() if len(parts) else part
+            for start, stop in slices(every):
+                for i, own in enumerate(coder.encode(every.slice(start, stop - start)), start):
                     ids += (own, end)
                     docs.append(NO_ID if keys[i] is None else keys[i])
                     lengths.append(len(own) // coder.width.itemsize + 1)
