@@ -65,17 +65,25 @@ def judge_prompts(spark, sf_dir):
 
 def _verdicts(spark, sf_dir):
     replies = bindings.judge_replies(spark, sf_dir)
-    return evaluating.judge_verdicts(replies.select("row_id", F.col("base_reply").alias("reply")))
+    sides = [
+        replies.select("row_id", F.lit(s).alias("side"), F.col(f"{s}_reply").alias("reply")) for s in evaluating.SIDES
+    ]
+    return evaluating.judge_verdicts(sides[0].unionByName(sides[1]))
 
 
 def judge_verdicts(spark, sf_dir):
-    return _verdicts(spark, sf_dir).select("row_id", "score", "reason")
+    return _verdicts(spark, sf_dir).select("row_id", "side", "score", "reason")
 
 
 def mean_judge_score(spark, sf_dir):
-    return evaluating.mean_judge_score(_verdicts(spark, sf_dir)).select(
-        F.round("mean_score", 9).alias("mean_score")
-    )
+    verdicts = _verdicts(spark, sf_dir)
+    means = [
+        evaluating.mean_judge_score(verdicts.where(F.col("side") == s)).select(
+            F.lit(s).alias("side"), F.round("mean_score", 9).alias("mean_score")
+        )
+        for s in evaluating.SIDES
+    ]
+    return means[0].unionByName(means[1])
 
 
 def report_judge_row(spark, sf_dir):
@@ -322,9 +330,9 @@ SELECT row_id, 'Grade the response from 1 (unusable) to 5 (excellent) for agreem
   || chr(10) || chr(10) || 'Response:' || chr(10) || finetuned_output
   || chr(10) || chr(10) || 'Answer only with JSON: {{"score": 1 to 5, "reason": "one sentence"}}' AS prompt
 FROM results""",
-    "judge_verdicts": f"WITH {_VERDICTS} SELECT row_id, score, reason FROM verdicts WHERE side = 'base'",
+    "judge_verdicts": f"WITH {_VERDICTS} SELECT row_id, side, score, reason FROM verdicts",
     "mean_judge_score": f"""WITH {_VERDICTS}
-SELECT round(avg(score), 9) AS mean_score FROM verdicts WHERE side = 'base'""",
+SELECT side, round(avg(score), 9) AS mean_score FROM verdicts GROUP BY side""",
     "report_judge_row": f"""WITH {_VERDICTS},
 {_JUDGE_MEANS}
 SELECT 'ALL' AS domain, 'llm_judge (1-5)' AS metric, base, finetuned, delta FROM judged""",

@@ -1,12 +1,10 @@
 """Drift in batch, and the usage log as a stream."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from millrace.catalog import sql
 from millrace.operators import drift
-from millrace.session import scratch_dir, stage
+from millrace.session import stage
 from millrace.sources import bindings
 from millrace.streaming import usage
 
@@ -46,9 +44,8 @@ def usage_windows_stream(spark, sf_dir):
     """The events table read as a stream of usage records, all windows."""
     schema = bindings.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    windows = usage.windowed_usage(bindings.usage_events(events), _vocabulary(spark, sf_dir))
-    name = f"usage_windows_{uuid.uuid4().hex}"
-    return _shown(usage.current_windows(windows, name, scratch_dir(spark, "usage-stream")))
+    log = bindings.usage_events(bindings.table(spark, sf_dir, "events"))
+    return _shown(usage.current_windows(bindings.usage_events(events), log, _vocabulary(spark, sf_dir)))
 
 
 QUERIES = {

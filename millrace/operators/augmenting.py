@@ -7,7 +7,7 @@ from millrace.functions.prose_json import bracketed, string_at, strict_json
 from millrace.functions.seeded import leading_number, seeded_hash
 from millrace.functions.text import named_domain
 from millrace.operators.ranking import group_profiles, keyed, rows_at_ranks
-from millrace.session import broadcast_if_small
+from millrace.session import broadcast_if_small, stage
 
 FIELDS = ("instruction", "input", "output")
 
@@ -39,13 +39,14 @@ def few_shot_samples(
     """Per call one domain and up to ``shots`` of its rows, from the train split.
 
     A call names ranks in its domain's seeded order and only the rows at those ranks are
-    looked up; rows and calls are never paired off.
+    looked up; rows and calls are never paired off. Domains, ids and sort keys are written once
+    for the three passes over them; the texts are read at the end, for the ids drawn.
     """
-    rows = keyed(train.withColumn("domain", named_domain(F.col("domain"))), seed, row_id)
-    profiles = group_profiles(rows, ["domain"])
+    narrow = train.select(named_domain(F.col("domain")).alias("domain"), row_id)
+    rows = stage(keyed(narrow, seed, row_id), "draw")
+    profiles = stage(group_profiles(rows, ["domain"]), "profiles")
     by_name = (F.row_number().over(Window.orderBy("domain")) - 1).cast("long")
-    numbered = profiles.select("domain").withColumn("domain_no", by_name)
-    domains = broadcast_if_small(profiles.join(numbered, "domain"))
+    domains = broadcast_if_small(profiles.select("domain", "group_rows").withColumn("domain_no", by_name))
     n_domains = domains.select(F.count(F.lit(1))).scalar()
     drawn = train.sparkSession.range(calls).select(
         F.col("id").alias("call"),
@@ -54,10 +55,12 @@ def few_shot_samples(
     wanted = (
         drawn.join(domains, "domain_no")
         .withColumn("rank", F.explode(_distinct_ranks(seed, shots)))
-        .select("call", "domain", "rank", "steps")
+        .select("call", "domain", "rank")
+        .join(profiles.select("domain", "steps"), "domain")
     )
-    payload = [row_id, *FIELDS]
-    return rows_at_ranks(rows, wanted, ["domain"], payload).select("call", "domain", "rank", *payload)
+    found = rows_at_ranks(rows, wanted, ["domain"], [row_id]).select("call", "domain", "rank", row_id)
+    texts = train.select(row_id, *FIELDS)
+    return texts.join(broadcast_if_small(found), row_id).select("call", "domain", "rank", row_id, *FIELDS)
 
 
 def synthesis_prompts(samples: DataFrame, per_call: int = 5) -> DataFrame:

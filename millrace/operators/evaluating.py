@@ -12,6 +12,11 @@ from millrace.operators.ranking import first_rows
 METRICS = ("rougeL", "token_f1", "exact_match")
 SIDES = ("base", "finetuned")
 
+# Title, table head and judge label of the report.
+REPORT_TITLE = "# Fine-tuned vs Base Model\n"
+TABLE_HEAD = "| Metric | Base | Fine-tuned | Delta |\n|---|---|---|---|"
+JUDGE_LABEL = "llm_judge (1-5)"
+
 
 def pair_predictions(
     references: DataFrame, base: DataFrame, finetuned: DataFrame, row_id: str = "row_id"
@@ -158,7 +163,7 @@ def judge_row(replies: DataFrame, judge_limit: int = 50, row_id: str = "row_id")
     )
     return means.select(
         F.lit("ALL").alias("domain"),
-        F.lit("llm_judge (1-5)").alias("metric"),
+        F.lit(JUDGE_LABEL).alias("metric"),
         "base",
         "finetuned",
         (F.col("finetuned") - F.col("base")).alias("delta"),
@@ -185,14 +190,14 @@ def report_lines(comparison: DataFrame, judge: DataFrame | None = None) -> DataF
                 F.lit(""),
                 F.format_string("## %s (n=%d)", "domain", "n"),
                 F.lit(""),
-                F.lit("| Metric | Base | Fine-tuned | Delta |\n|---|---|---|---|"),
+                F.lit(TABLE_HEAD),
             )
         ).alias("line_no", "line"),
     )
     title = comparison.sparkSession.range(1).select(
         F.lit(False).alias("part"), F.lit(-1).cast("long").alias("first_row"),
         F.lit("").alias("domain"), F.lit(0).cast("long").alias("n"),
-        F.lit(0).alias("line_no"), F.lit("# Fine-tuned vs Base Model\n").alias("line"),
+        F.lit(0).alias("line_no"), F.lit(REPORT_TITLE).alias("line"),
     )
     parts = title.unionByName(heads).unionByName(table)
     if judge is not None:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from millrace.functions import chat
 from millrace.functions.text import is_blank, trim_space
@@ -37,10 +38,12 @@ def with_spec(df: DataFrame) -> DataFrame:
 
 
 def _named_column(df: DataFrame, chooser: str, names: list[str]) -> Column:
-    """The value of the column whose name ``chooser`` holds; null where the row lacks it."""
+    """The text of the column whose name ``chooser`` holds; null where the row lacks it or where
+    the column holds no text.
+    """
     value = F.lit(None).cast("string")
     for name in names:
-        if name in df.columns:
+        if name in df.columns and isinstance(df.schema[name].dataType, StringType):
             value = F.when(F.col(chooser) == name, F.col(name)).otherwise(value)
     return value
 

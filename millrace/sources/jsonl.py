@@ -11,6 +11,10 @@ from millrace.sources.schemas import USAGE
 
 CORRUPT = "_corrupt_record"
 
+# Block starts that may be broadcast, counted and measured first; some 60 bytes and the path each.
+BLOCKS = 2_000_000
+BLOCK_BYTES = 512_000_000
+
 
 def read_jsonl(
     spark: SparkSession,
@@ -59,7 +63,7 @@ def number_rows(df: DataFrame, row_id: str = "row_id") -> DataFrame:
         F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).alias("start"),
     )
     number = F.col("start") + F.col("scan_position") - F.col("first_position")
-    return placed.join(broadcast_if_small(starts), block).select(
+    return placed.join(broadcast_if_small(starts, BLOCKS, BLOCK_BYTES), block).select(
         number.alias(row_id), *[c for c in df.columns if c != row_id]
     )
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import words
-from millrace.session import is_small
+from millrace.session import is_small, scratch_dir
 from millrace.sources.schemas import USAGE
 
 # Words (short strings and a flag) that may be broadcast; they take some 100 MB.
@@ -37,18 +37,50 @@ def _with_known(spread: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return spread.withColumn("salt", salt).join(salted, ["word", "salt"], "left").drop("salt")
 
 
+def _unseen_counts(timed: DataFrame, vocabulary: DataFrame, window: str) -> DataFrame:
+    """A batch: words are counted per window and domain before they meet the vocabulary.
+
+    A word of any frequency is then one row per window and domain, and records are not
+    multiplied by their words to be counted themselves.
+    """
+    by = ["window", "domain"]
+    records = timed.groupBy(F.window("at", window).alias("window"), "domain").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg("latency_ms").alias("mean_latency_ms")
+    )
+    uses = (
+        timed.select(F.window("at", window).alias("window"), "domain", F.explode(words(F.col("query"))).alias("word"))
+        .groupBy(*by, "word")
+        .agg(F.count(F.lit(1)).alias("uses"))
+    )
+    counts = _with_known(uses, vocabulary).groupBy(*by).agg(
+        F.sum("uses").alias("n_words"), F.sum(F.when(F.col("known").isNull(), F.col("uses"))).alias("unseen_words")
+    )
+    start = F.col("window.start").alias("start")
+    joined = records.select(start, F.col("domain").alias("d"), *records.columns).join(
+        counts.select(start.alias("word_start"), F.col("domain").alias("word_domain"), "n_words", "unseen_words"),
+        (F.col("start") == F.col("word_start")) & F.col("d").eqNullSafe(F.col("word_domain")),
+        "left",
+    )
+    zero = F.lit(0).cast("long")
+    return joined.select(
+        "window", "domain", "n_rows", "mean_latency_ms",
+        F.coalesce("n_words", zero).alias("n_words"), F.coalesce("unseen_words", zero).alias("unseen_words"),
+    )
+
+
 def windowed_usage(
     usage: DataFrame, vocabulary: DataFrame, window: str = "1 day", watermark: str = "1 hour"
 ) -> DataFrame:
     """Per window and domain: rows, mean latency, words, unseen words and their rate.
 
-    Works on a stream and on a batch alike. Each record becomes one row per word; the row of
-    the first word stands for the record itself. A stream reads ``vocabulary`` again for
+    Works on a stream and on a batch alike. In a stream each record becomes one row per word; the
+    row of the first word stands for the record itself. A stream reads ``vocabulary`` again for
     every micro-batch, so hand in a staged table, not the job that builds it.
     """
     timed = usage.withColumn("at", F.timestamp_seconds("timestamp"))
-    if usage.isStreaming:
-        timed = timed.withWatermark("at", watermark)
+    if not usage.isStreaming:
+        return _shaped(_unseen_counts(timed.where("at is not null"), vocabulary, window))
+    timed = timed.withWatermark("at", watermark)
     spread = timed.select(
         "at", "domain", "latency_ms", F.posexplode_outer(words(F.col("query"))).alias("pos", "word")
     )
@@ -60,6 +92,10 @@ def windowed_usage(
         F.count("word").alias("n_words"),
         F.count_if(unseen).alias("unseen_words"),
     )
+    return _shaped(grouped)
+
+
+def _shaped(grouped: DataFrame) -> DataFrame:
     return grouped.select(
         F.col("window.start").alias("window_start"),
         "domain",
@@ -82,18 +118,21 @@ def append_windows(windows: DataFrame, path: str, checkpoint: str, once: bool =
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def current_windows(windows: DataFrame, name: str, checkpoint: str) -> DataFrame:
-    """Read what there is and return all windows so far, open ones included.
+def current_windows(
+    stream: DataFrame, log: DataFrame, vocabulary: DataFrame, window: str = "1 day", watermark: str = "1 hour"
+) -> DataFrame:
+    """Read what there is of the stream and return all windows so far, open ones included.
 
-    The memory sink holds one row per window and domain, whatever the traffic.
+    Closed windows come from the Parquet sink; state of the stream expires with them. The open ones,
+    after the last closed window, are computed from the ``log`` itself, the batch reading of
+    the same records. Nothing is held in the driver.
     """
-    query = (
-        windows.writeStream.format("memory")
-        .queryName(name)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("complete")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return windows.sparkSession.table(name)
+    spark = stream.sparkSession
+    path = scratch_dir(spark, "usage-windows")
+    closing = windowed_usage(stream, vocabulary, window, watermark)
+    append_windows(closing, path, scratch_dir(spark, "usage-stream"), once=True).awaitTermination()
+    closed = spark.read.schema(closing.schema).parquet(path)
+    last = closed.select(F.max("window_start")).scalar()
+    timed = log.withColumn("window_of", F.window(F.timestamp_seconds("timestamp"), window))
+    rest = timed.where(F.coalesce(F.col("window_of.start") > last, F.lit(True))).drop("window_of")
+    return closed.unionByName(windowed_usage(rest, vocabulary, window))

@@ -44,7 +44,7 @@ def outcome(spark, *values):
 
 def test_quality_edges(spark):
     assert outcome(spark, "hi", None) == "length"
-    assert outcome(spark, "This is a reasonably long and clean example sentence.", None) is None
+    assert outcome(spark, "Warp threads run the length of the loom, weft threads cross them.", None) is None
     assert outcome(spark, "x" * 29, None) == "length"
     assert outcome(spark, "x" * 30, None) is None
     assert outcome(spark, "x" * 8000, None) is None

@@ -4,13 +4,13 @@ from millrace.functions import pii
 from millrace.operators.scrub import mask_counts, scrub_records
 
 CASES = [
-    ("Contact john.doe@example.com now", "Contact [EMAIL] now"),
-    ("SSN: 123-45-6789", "SSN: [SSN]"),
-    ("Call 555-123-4567 today", "Call [PHONE] today"),
-    ("Server at 192.168.1.1", "Server at [IP_ADDRESS]"),
+    ("ask m.weaver+loom@mill.example, please", "ask [EMAIL], please"),
+    ("file no. 901-22-3344 closed", "file no. [SSN] closed"),
+    ("ring 212-867-5309 at noon", "ring [PHONE] at noon"),
+    ("ping 10.0.7.254 twice", "ping [IP_ADDRESS] twice"),
     ("card 4111 1111 1111 1111 ok", "card [CREDIT_CARD] ok"),
     ("card 4111-1111-1111-1111.", "card [CREDIT_CARD]."),
-    ("years 1990 1991 1992 1993", "years 1990 1991 1992 1993"),
+    ("lots 2210 2211 2212 2213", "lots 2210 2211 2212 2213"),
     # octets are not range-checked
     ("999.999.999.999", "[IP_ADDRESS]"),
     # a letter right before the number, Unicode included, keeps it
@@ -42,7 +42,7 @@ def test_scrub_golden_rows(evaluate):
     assert evaluate(pii.scrub, *[c[0] for c in CASES]) == [c[1] for c in CASES]
 
 
-@pytest.mark.parametrize("number, valid", [("4111 1111 1111 1111", True), ("1990 1991 1992 1993", False)])
+@pytest.mark.parametrize("number, valid", [("6011 0009 9013 9424", True), ("2210 2211 2212 2213", False)])
 def test_luhn(evaluate, number, valid):
     assert evaluate(pii.luhn_valid, number) is valid
 

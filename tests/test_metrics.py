@@ -23,12 +23,12 @@ def rouge(p, r, stem=True):
 
 
 def test_exact_match(evaluate):
-    pairs = [("The cat sat.", "the cat sat"), ("a b", "a c"), ("", "..."), ("é", "É")]
+    pairs = [("Red wool, twice!", "red wool twice"), ("a b", "a c"), ("", "..."), ("é", "É")]
     assert evaluate(exact, *pairs) == [1.0, 0.0, 1.0, 1.0]
 
 
 def test_token_f1(evaluate):
-    pairs = [("the cat sat", "the cat ran"), ("", ""), ("a", ""), ("a a b", "a b b b"), ("x", "y")]
+    pairs = [("spin red wool", "spin red flax"), ("", ""), ("a", ""), ("a a b", "a b b b"), ("x", "y")]
     found = evaluate(f1, *pairs)
     assert found == pytest.approx([2 / 3, 0.0, 0.0, 4 / 7, 0.0])
 
@@ -50,11 +50,11 @@ def test_token_f1_against_counters(evaluate):
 
 def test_rouge(evaluate):
     pairs = [
-        ("hello world", "hello world"),
+        ("warp and weft", "warp and weft"),
         ("", ""),
-        ("running cats", "run cat"),
-        ("police killed the gunman", "police kill the gunman"),
-        ("the gunman killed police", "police killed the gunman"),
+        ("weaving mills", "weave mill"),
+        ("miller ground the barley", "miller grounds the barley"),
+        ("the barley ground miller", "miller ground the barley"),
         ("é", "é"),
     ]
     assert evaluate(rouge, *pairs) == pytest.approx([1.0, 0.0, 1.0, 1.0, 0.5, 0.0])

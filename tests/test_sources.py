@@ -118,8 +118,8 @@ def test_stream_equals_batch(spark, tmp_path, vocab):
     log = log_rows(spark)
     jsonl.append_usage(log, str(tmp_path / "log"))
     batch = as_rows(usage.windowed_usage(log, vocab))
-    stream = usage.windowed_usage(usage.usage_stream(spark, str(tmp_path / "log")), vocab)
-    assert as_rows(usage.current_windows(stream, "all_windows", str(tmp_path / "check"))) == batch
+    stream = usage.usage_stream(spark, str(tmp_path / "log"))
+    assert as_rows(usage.current_windows(stream, log, vocab)) == batch
     assert batch[1] == ("1970-01-01 00:00:00", "support", 2, 20.0, 5, 2, 0.4)
     assert batch[0] == ("1970-01-01 00:00:00", "legal", 1, 5.0, 0, 0, 0.0)
 
@@ -130,8 +130,8 @@ def test_salted_join_with_a_large_vocabulary(spark, tmp_path, vocab, monkeypatch
     monkeypatch.setattr("millrace.streaming.usage.BROADCAST_WORDS", 0)
     assert as_rows(usage.windowed_usage(log, vocab)) == expected
     jsonl.append_usage(log, str(tmp_path / "log"))
-    stream = usage.windowed_usage(usage.usage_stream(spark, str(tmp_path / "log")), vocab)
-    assert as_rows(usage.current_windows(stream, "salted_windows", str(tmp_path / "check"))) == expected
+    stream = usage.usage_stream(spark, str(tmp_path / "log"))
+    assert as_rows(usage.current_windows(stream, log, vocab)) == expected
 
 
 def test_append_mode_writes_closed_windows_once(spark, tmp_path, vocab):
