@@ -10,7 +10,7 @@ that follow from the set sizes say which:
    n-grams come first in the order; counting sketches of fixed size, of n-grams and of words, say
    how rare they are, and err only in cost.
 3. Columns of up to ``SMALL_COLUMN`` rows list their pairs of fitting sizes, which are counted over columns; pairs
-   that meet too seldom are dropped. The smallest row of a pair leads a block with all its partners. The
+   that meet too seldom for their sizes are dropped. The smallest row of a pair leads a block with all its partners. The
    rows of a larger column meet in a block as they are. A block with too many rows
    or n-grams is cut into parts, and all pairs of parts are multiplied, each in a task of its own.
 4. Within a product, overlap counts grow column by column, rare ones first. A pair that cannot reach
@@ -37,6 +37,7 @@ BLOCK_ROWS, BLOCK_GRAMS = 2048, 2_000_000
 CELLS = 4_000_000
 SMALL_COLUMN = 32
 MEET = 3
+BITMAP_BITS = 1 << 24
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -278,6 +279,41 @@ def _pairs(percent: int):
     return run, result
 
 
+def _pair_meets(percent: int):
+    """How many of their first n-grams two linked sets ``n_a``, ``n_b`` share, as a column.
+
+    All shared n-grams up to the end of one of the two first parts, whichever comes first in the
+    order, lie in both of them. So the overlap is at most the number of meetings and what the
+    longer of the two rests could add. It must reach ``percent`` of the union.
+    """
+
+    def rest(n):
+        shared = F.floor((F.col(n) * percent + 99) / 100)
+        return shared - F.least(F.lit(MEET), shared)
+
+    total = F.col("n_a") + F.col("n_b")
+    need = F.floor((total * percent + (99 + percent)) / (100 + percent))
+    return need - F.greatest(rest("n_a"), rest("n_b"))
+
+
+def _of_blocks(texts: DataFrame, own: DataFrame) -> DataFrame:
+    """The texts that may be in a block: others need no shuffle.
+
+    A bitmap of ``BITMAP_BITS`` hashed ids decides, 2 MB whatever the number of rows. Ids that share a bit only
+    cost a shuffled text.
+    """
+    width = 32768  # Fixed value: bits of a bitmap that Spark's aggregate builds
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    bits = own.select(F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS)).alias("spot")).select(
+        F.floor(F.col("spot") / width).alias("part"), F.pmod("spot", F.lit(width)).alias("bit")
+    )
+    maps = stage(bits.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")), "join-bitmap")
+    marked = texts.withColumn("spot", spot).withColumn("part", F.floor(F.col("spot") / width))
+    held = marked.join(F.broadcast(maps), "part")
+    byte = F.conv(F.hex(F.expr(f"substring(bits, int(spot % {width} div 8) + 1, 1)")), 16, 10).cast("long")
+    return held.where(F.getbit(byte, F.pmod("spot", F.lit(8)).cast("int")) == 1).select("doc_id", "text")
+
+
 def _members(rows: DataFrame, percent: int) -> DataFrame:
     """``(leader, node, n)``: blocks whose rows have to be multiplied with each other."""
     columns = _columns(rows)
@@ -285,10 +321,8 @@ def _members(rows: DataFrame, percent: int) -> DataFrame:
     shared = stage(columns.join(counted, "gram"), "join-columns")
     small = shared.where(F.col("k") <= SMALL_COLUMN).groupBy("gram").agg(F.collect_list(F.struct("node", "n")).alias("m"))
     run, result = _pairs(percent)
-    size = F.least("n_a", "n_b")
-    least = F.least(F.lit(MEET), F.floor((size * percent + 99) / 100))
     pairs = small.select("m").mapInArrow(run, result).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("meets"))
-    led = stage(pairs.where(F.col("meets") >= least), "join-pairs")
+    led = stage(pairs.where(F.col("meets") >= _pair_meets(percent)), "join-pairs")
     large = shared.where(F.col("k") > SMALL_COLUMN).select("leader", "node", "n")
     every = large.unionByName(led.selectExpr("a AS leader", "b AS node", "n_b AS n")).unionByName(
         led.selectExpr("a AS leader", "a AS node", "n_a AS n")
@@ -304,9 +338,9 @@ def links(texts: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFr
     placed = members.join(sizes.select("leader", parts.alias("parts")), "leader").select(
         "node", "leader", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "parts"
     )
-    own = placed.groupBy("node").agg(F.collect_list(F.struct("leader", "part", "parts")).alias("blocks"))
+    own = stage(placed.groupBy("node").agg(F.collect_list(F.struct("leader", "part", "parts")).alias("blocks")), "join-own")
     spread, spread_result = _spread(words)
-    joined = texts.join(own.hint("shuffle_hash"), F.col("doc_id") == F.col("node")).select("node", "text", "blocks")
+    joined = _of_blocks(texts, own).join(own.hint("shuffle_hash"), F.col("doc_id") == F.col("node")).select("node", "text", "blocks")
     run, result = _block_edges(percent)
     blocks = joined.mapInArrow(spread, spread_result)
     dealt = blocks.repartition(partitions(texts.sparkSession), "leader", "i", "j")
