@@ -10,7 +10,8 @@ that follow from the set sizes say which:
    n-grams come first in the order; counting sketches of fixed size, of n-grams and of words, say
    how rare they are, and err only in cost.
 3. Columns of up to ``SMALL_COLUMN`` rows list their pairs of fitting sizes, which are counted over columns; pairs
-   that meet too seldom for their sizes are dropped. The smallest row of a pair leads a block with all its partners. The
+   that meet too seldom for their sizes are dropped. Each row knows its smallest partner; two rows that know the same
+   one meet in its block, others in the block of the smaller of the two. So a group of near copies is one block. The
    rows of a larger column meet in a block as they are. A block with too many rows
    or n-grams is cut into parts, and all pairs of parts are multiplied, each in a task of its own.
 4. Within a product, overlap counts grow column by column, rare ones first. A pair that cannot reach
@@ -35,7 +36,7 @@ SKETCH_BITS = 20
 SKETCH_BLOCK = 4096
 BLOCK_ROWS, BLOCK_GRAMS = 2048, 2_000_000
 CELLS = 4_000_000
-SMALL_COLUMN = 32
+SMALL_COLUMN = 128
 MEET = 3
 BITMAP_BITS = 1 << 24
 
@@ -314,6 +315,16 @@ def _of_blocks(texts: DataFrame, own: DataFrame) -> DataFrame:
     return held.where(F.getbit(byte, F.pmod("spot", F.lit(8)).cast("int")) == 1).select("doc_id", "text")
 
 
+def _led(pairs: DataFrame) -> DataFrame:
+    """Each pair with the ``leader`` of its block: the smallest partner of both ends, or else ``a``."""
+    ends = pairs.select("a", F.col("a").alias("b")).unionByName(pairs.select("a", "b"))
+    # seen from the larger end, and from the smaller one, which is its own smallest if nothing is under it
+    least = ends.groupBy("b").agg(F.min("a").alias("least"))
+    of_a, of_b = least.toDF("a", "least_a"), least.toDF("b", "least_b")
+    leader = F.when(F.col("least_a") == F.col("least_b"), F.col("least_a")).otherwise(F.col("a"))
+    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "n_a", "n_b", leader.alias("leader"))
+
+
 def _members(rows: DataFrame, percent: int) -> DataFrame:
     """``(leader, node, n)``: blocks whose rows have to be multiplied with each other."""
     columns = _columns(rows)
@@ -322,10 +333,10 @@ def _members(rows: DataFrame, percent: int) -> DataFrame:
     small = shared.where(F.col("k") <= SMALL_COLUMN).groupBy("gram").agg(F.collect_list(F.struct("node", "n")).alias("m"))
     run, result = _pairs(percent)
     pairs = small.select("m").mapInArrow(run, result).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("meets"))
-    led = stage(pairs.where(F.col("meets") >= _pair_meets(percent)), "join-pairs")
+    led = stage(_led(stage(pairs.where(F.col("meets") >= _pair_meets(percent)), "join-pairs")), "join-led")
     large = shared.where(F.col("k") > SMALL_COLUMN).select("leader", "node", "n")
-    every = large.unionByName(led.selectExpr("a AS leader", "b AS node", "n_b AS n")).unionByName(
-        led.selectExpr("a AS leader", "a AS node", "n_a AS n")
+    every = large.unionByName(led.selectExpr("leader", "b AS node", "n_b AS n")).unionByName(
+        led.selectExpr("leader", "a AS node", "n_a AS n")
     )
     return stage(every.groupBy("leader", "node").agg(F.max("n").alias("n")), "join-blocks")
 
