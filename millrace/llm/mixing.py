@@ -7,10 +7,11 @@ on until the whole hash is used. What remains is one hash bound per source, and
 it are taken. Nothing is sorted but the buckets, and budgets nest: a smaller budget takes a subset.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stage
+from millrace.session import broadcast_if_small
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -18,14 +19,18 @@ MOST = 2
 DIGITS, LEVELS = 3, 5  # 12 bits a level, 60 bits in all
 
 
+def _hash(id_col: str) -> Column:
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10)
+    return h.cast("long")
+
+
 def sizes(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``(doc_id, source, size, h)``: words of the text and the hash of the id."""
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10)
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long").alias("size"),
-        h.cast("long").alias("h"),
+        _hash(id_col).alias("h"),
     )
 
 
@@ -98,6 +103,14 @@ def bounds(rows: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("no", "copies", F.col("prefix").alias("bound"))
 
 
+def _dealt(df: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, most: int):
+    """Keyed rows ``(no, doc_id, size, source_size, target, h)``, the targets and the bounds per source."""
+    kept = stage(sizes(df, id_col, text_col, source_col), "mix-sizes")
+    goals = stage(targets(kept, weights, share, most), "mix-targets")
+    keyed = kept.join(goals, kept["source"].eqNullSafe(goals["source"])).drop("source")
+    return keyed, goals, bounds(keyed.select("no", "h", "size"), goals)
+
+
 def mix(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -113,27 +126,36 @@ def mix(
     one id share their hash and so their fate. A source whose texts are all empty has target 0.
     An empty table gives no rows. Extra columns are left out.
     """
-    rows = sizes(df, id_col, text_col, source_col)
-    kept = stage(rows, "mix-sizes")
-    goals = stage(targets(kept, weights, share, most), "mix-targets")
-    keyed = kept.join(goals, kept["source"].eqNullSafe(goals["source"])).drop("source")
-    cuts = bounds(keyed.select("no", "h", "size"), goals)
+    keyed, _, cuts = _dealt(df, id_col, text_col, source_col, weights, share, most)
     times = F.col("copies") + F.when(F.col("h") < F.col("bound"), 1).otherwise(0)
     return keyed.join(cuts, "no").select(
         "doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken")
     )
 
 
-def mixed_documents(df: DataFrame, id_col: str = "doc_id", **named) -> DataFrame:
+def mixed_documents(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+) -> DataFrame:
     """The mix itself: input rows as often as they are taken, with their own columns.
 
-    Ids must be unique and not null for this form; documents without words are not taken.
+    Each row is repeated in place by the bound of its source, so ids may be null or repeated, as
+    in ``mix``; documents without words are not taken.
     """
-    taken = mix(df, id_col, **named).where("taken > 0")
-    times = taken.select(
-        F.col("doc_id").alias("__mix_id"), (F.col("taken") / F.col("size")).cast("int").alias("__mix_n")
+    _, goals, cuts = _dealt(df, id_col, text_col, source_col, weights, share, most)
+    by_source = goals.join(cuts, "no").select(
+        F.col("source").alias("__mix_source"), F.col("copies").alias("__mix_copies"), F.col("bound").alias("__mix_bound")
     )
-    joined = df.join(times.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("__mix_id"))
-    return joined.withColumn("__mix_i", F.explode(F.sequence(F.lit(1), "__mix_n"))).select(
-        *[F.col(f"`{c}`") for c in df.columns]
+    worded = df.where(F.col(text_col).rlike("[^\\x20\\x09-\\x0D]"))
+    joined = worded.join(
+        broadcast_if_small(by_source), F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source"))
     )
+    times = F.col("__mix_copies") + F.when(_hash(id_col) < F.col("__mix_bound"), 1).otherwise(0)
+    return joined.withColumn("__mix_n", times.cast("int")).where("__mix_n > 0").withColumn(
+        "__mix_i", F.explode(F.sequence(F.lit(1), "__mix_n"))
+    ).select(*[F.col(f"`{c}`") for c in df.columns])

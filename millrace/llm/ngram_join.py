@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import columns_of, narrow, partitions, rows_batch, shingles, shingles_of, stage, utf8, word_hashes
 from millrace.llm.components import components
+from millrace.session import broadcast_if_small
 
 WORDS = 3
 PERCENT = 90
@@ -397,8 +398,19 @@ def join(
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **named) -> DataFrame:
     """The rows that are the first of their component, with their own columns.
 
-    Rows with a null id are kept; rows that share an id stay or go together.
+    Rows with a null id are kept. Rows that share an id stay or go together, but of those that share
+    id and text one stays: the one with the smallest other columns.
     """
-    kept = join(df, id_col, text_col, **named).where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    joined = df.join(kept.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("__first"), "left")
-    return joined.where(F.col("__first").isNotNull() | F.col(id_col).isNull()).drop("__first")
+    first = join(df, id_col, text_col, **named).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__first"))
+    kept = stage(first.agg((F.count("*") > 1).alias("__again")), "join-kept")
+    own = F.col(id_col).cast("long") == F.col("__first")
+    joined = df.join(kept.where("not __again").drop("__again").hint("shuffle_hash"), own, "left")
+    once = joined.where(F.col("__first").isNotNull() | F.col(id_col).isNull()).drop("__first")
+    again = kept.where("__again").drop("__again")
+    if not again.limit(1).count():
+        return once
+    # Combined map-side, so however many copies a row has, a task sends one.
+    keys, others = (F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col)]
+    least = df.join(broadcast_if_small(again), own).groupBy(*keys).agg(F.min(F.struct(F.lit(0).alias("__same"), *others)).alias("__row"))
+    own_columns = [F.col(f"`{c}`") if c in (id_col, text_col) else F.col(f"__row.`{c}`").alias(c) for c in df.columns]
+    return once.unionByName(least.select(*own_columns))

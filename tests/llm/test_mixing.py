@@ -1,5 +1,6 @@
 import hashlib
 import re
+from collections import Counter
 
 from millrace.llm import mixing
 from millrace.llm.queries import ORACLES, QUERIES
@@ -85,3 +86,14 @@ def test_mixed_documents(make_docs, words):
     times = {r["doc_id"]: r["taken"] // r["size"] for r in mixing.mix(docs).collect()}
     rows = [r["doc_id"] for r in got.collect()]
     assert {i: rows.count(i) for i in times} == times
+
+
+def test_mixed_documents_with_null_and_repeated_ids(make_docs, words):
+    rows = [(i, words(5, i), f"s{i % 4}") for i in range(60)] + [(None, words(6, 900 + i), f"s{i % 3}") for i in range(8)]
+    rows += [(7, words(5, 7), "s3")] * 3 + [(8, words(5, 800 + i), None) for i in range(3)] + [(9, " \n", "s1"), (None, None, None)]
+    docs = make_docs(*rows)
+    times = Counter()
+    for i, (size, *_, taken) in brute(rows).items():
+        times[rows[i]] += taken // size if size else 0
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.mixed_documents(docs).collect())
+    assert got == +times and any(i is None for i, *_ in got) and got[7, words(5, 7), "s3"] in (4, 8)

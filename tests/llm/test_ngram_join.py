@@ -93,6 +93,15 @@ def test_one_of_each(make_docs, words):
     assert sorted(i for i in ids if i is not None) == sorted({c for _, c in brute(texts).values()}) and None in ids
 
 
+def test_one_of_each_keeps_one_row_of_an_id_and_text(make_docs):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (1, a), (1, a, "later"), (1, b), (2, b), (2, b), (3, "own words"), (None, a), (None, a), (4, None), (4, None)]
+    got = ngram_join.one_of_each(make_docs(*rows))
+    assert got.columns == make_docs(*rows).columns
+    left = sorted(((r["doc_id"], r["text"], r["source"]) for r in got.collect()), key=str)
+    assert left == sorted([(1, a, "later"), (1, b, "s"), (3, "own words", "s"), (None, a, "s"), (None, a, "s"), (4, None, "s")], key=str)
+
+
 def test_product_against_sets():
     rng = random.Random(4)
     base = [rng.sample(range(300), 60) for _ in range(3)]
