@@ -4,20 +4,20 @@ Patterns find the protected entities: mail addresses, IP addresses, card and pho
 them is not enough where other words of the same document give them away. For every entity e
 and every term t of its documents the corpus gives the numbers of documents with t, with e and with both,
 and so p(e | t) and the pointwise mutual information log2(p(e | t) / p(e)). Terms over both
-disclosure thresholds, with enough documents behind them, are reported as spans in the
-documents that name the entity, and ``sanitised`` replaces them by their general class.
+disclosure thresholds are reported as spans in the documents that name the entity, however few
+those are: a term that no other document has leads to an entity that is named once.
+``sanitised`` replaces them by their general class.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stage
+from millrace.session import broadcast_if_small
 
-MIN_DOCS = 3
 MIN_SHARE = 0.8
 MIN_BITS = 4.0
-TERM = r"\p{L}{4,}+"
-BROADCAST_TERMS, BROADCAST_CHARS = 200_000, 4_000_000
+TERM = r"[\p{L}\p{M}\p{N}_]++"
 BLOCK = 128
 
 # Patterns of the base kinds. They are written so that a text is scanned in linear time:
@@ -118,41 +118,45 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(_all(F.lower(text), TERM))
 
 
-def disclosing(rows: DataFrame, docs: DataFrame, text_col: str, min_docs: int, min_share: float, min_bits: float) -> DataFrame:
+def disclosing(rows: DataFrame, docs: DataFrame, text_col: str, min_share: float, min_bits: float) -> DataFrame:
     """``(uid, terms)``: for documents with entities, the terms that give one of them away.
 
-    Entities and terms with fewer than ``min_docs`` documents cannot pass, so only the others meet.
+    Entities named by the same documents have the same numbers, so one of them stands for all: a
+    document with many entities of its own meets its terms once. Nor can a term pass whose documents
+    are too many for the most frequent entity of its document; such pairs are left out before they meet.
     """
     named = rows.where("size(entities) > 0").select("uid", F.explode("entities").alias("entity"))
-    known = named.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_docs)
-    uses = stage(named.join(known, "entity"), "pii-entities")
-    pairs = uses.join(rows.select("uid", F.explode(_terms(F.col("text"))).alias("term")), "uid")
-    pairs = stage(pairs.select("uid", "entity", "n_entity", "term"), "pii-pairs")
-    both = stage(
-        pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
-        .where(F.col("n_both") >= min_docs),
-        "pii-both",
+    known = named.groupBy("entity").agg(
+        F.count("*").alias("n_entity"), F.min("uid").alias("low"), F.max("uid").alias("high"),
+        F.bit_xor(F.xxhash64("uid")).alias("mark"), F.bit_xor(F.xxhash64(F.lit(1), "uid")).alias("mark2"),
     )
-    wanted = both.select("term").distinct()
-    size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("term")), F.lit(0)).alias("c")).first()
-    small = size["n"] <= BROADCAST_TERMS and size["c"] <= BROADCAST_CHARS
+    alike = known.groupBy("n_entity", "low", "high", "mark", "mark2").agg(F.min("entity").alias("entity"))
+    uses = stage(named.join(alike.select("entity", "n_entity"), "entity"), "pii-entities")
+    terms = stage(rows.where("size(entities) > 0").select("uid", F.explode(_terms(F.col("text"))).alias("term")), "pii-terms-of")
     words = docs.select(F.explode(_terms(F.col(text_col))).alias("term"))
-    counts = words.join(F.broadcast(wanted) if small else wanted, "term").groupBy("term").agg(F.count("*").alias("n_term"))
+    wanted = broadcast_if_small(terms.select("term").distinct())
+    counts = words.groupBy("term").agg(F.count("*").alias("n_term")).join(wanted, "term")
+    most = uses.groupBy("uid").agg(F.max("n_entity").alias("most"))
+    able = terms.join(counts, "term").join(most, "uid").where(F.col("most") / F.col("n_term") >= min_share)
+    pairs = stage(able.drop("most").join(uses, "uid").select("uid", "entity", "n_entity", "term", "n_term"), "pii-pairs")
+    both = pairs.groupBy("entity", "term").agg(
+        F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")
+    )
     share = F.col("n_both") / F.col("n_term")
     bits = F.log2(share * F.lit(float(docs.count())) / F.col("n_entity"))
-    telling = both.join(counts, "term").where((share >= min_share) & (bits >= min_bits)).select("entity", "term")
+    telling = both.where((share >= min_share) & (bits >= min_bits)).select("entity", "term")
     return pairs.join(telling, ["entity", "term"]).groupBy("uid").agg(F.collect_set("term").alias("terms"))
 
 
 def find(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE, min_bits: float = MIN_BITS,
+    min_share: float = MIN_SHARE, min_bits: float = MIN_BITS,
 ) -> DataFrame:
     """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_terms)``, one row per input row.
 
     Offsets count code points, ends exclusive; spans are in the order of the kinds, then of the
     start, terms last. A null text is empty and has no spans; its digest is that of ''. Repeated
-    rows count as documents of their own. Terms inside a base span are not reported again.
+    rows count as documents of their own. Terms are runs of letters, marks, digits and underscores. Terms inside a base span are not reported again.
     """
     base = found(df, id_col, text_col)
     entities = F.array_distinct(F.transform(F.concat(*KINDS), lambda x: F.lower(x["match"])))
@@ -162,7 +166,7 @@ def find(
         F.when(F.size(F.concat(*KINDS)) > 0, F.col("text")).alias("text"),
     )
     rows = stage(rows, "pii-base")
-    telling = stage(disclosing(rows, df, text_col, min_docs, min_share, min_bits), "pii-terms")
+    telling = stage(disclosing(rows, df, text_col, min_share, min_bits), "pii-terms")
     joined = rows.join(telling, "uid", "left").withColumn(
         "words", F.when(F.col("terms").isNotNull(), _all(F.col("text"), TERM)).otherwise(F.array().cast("array<string>"))
     )

@@ -88,3 +88,28 @@ def test_terms_that_give_entities_away(make_docs, words):
     clean = make_docs(*docs, extra=False).join(got, "doc_id").where("doc_id = 300").select(sanitising.sanitised(F.col("text"), F.col("spans")).alias("t"))
     text = clean.first()["t"]
     assert "[EMAIL]" in text and "[TERM]" in text and "Quimbleton" not in text and "jane" not in text
+
+
+def test_terms_of_entities_in_few_documents(make_docs):
+    docs = [(i, f"plain text {'of many' if i % 2 else 'about few'} words here") for i in range(60)]
+    docs += [(100, "Plain text by bo of flat 7b account 99120 user jd_4 mail jd@x.org and 10.0.0.1"), (101, "words here from mail")]
+    docs += [(200 + i, f"Al likes k9 mail al@y.org {'here' if i else 'zeta'} plain") for i in range(2)] + [(300, "k9 text")]
+    found = [{m.lower() for *_, m in base(t)} for _, t in docs]
+    terms = [{w.lower() for w in re.findall(r"\w+", t)} for _, t in docs]
+    got = {r["doc_id"]: r for r in sanitising.find(make_docs(*docs)).collect()}
+    for i, (doc_id, text) in enumerate(docs):
+        telling = set()
+        for e in found[i]:
+            named = [j for j, x in enumerate(found) if e in x]
+            for t in terms[i]:
+                both, n = sum(t in terms[j] for j in named), sum(t in x for x in terms)
+                if both / n >= 0.8 and math.log2(both / n * len(docs) / len(named)) >= 4:
+                    telling.add(t)
+        spans = [(m.start(), m.end()) for m in re.finditer(r"\w+", text) if m[0].lower() in telling]
+        spans = [x for x in spans if not any(s < x[1] and x[0] < e for _, s, e, _ in base(text))]
+        written = [x for x in got[doc_id]["spans"].split(",") if x.startswith("term:")]
+        assert written == [f"term:{s}:{e}" for s, e in spans] and got[doc_id]["n_terms"] == len(spans)
+        if doc_id == 100:
+            assert {text[s:e] for s, e in spans} >= {"bo", "7b", "99120", "jd_4"}
+        if doc_id == 201:
+            assert {text[s:e] for s, e in spans} == {"Al", "likes"}
