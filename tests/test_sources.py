@@ -150,3 +150,19 @@ def test_append_mode_writes_closed_windows_once(spark, tmp_path, vocab):
         spark.createDataFrame([(9.0 * DAY, "support", "x", "r", 1, None)], schemas.USAGE), log
     )
     assert run() == batch
+
+
+def test_support_pairs_over_gaps_match_sql(spark, tmp_path):
+    import duckdb
+    from millrace.catalog import sql
+    from millrace.sources import bindings
+
+    turns = {1: [0, 1, 4, 7, 8, 9], 2: [3, 1020, 1030, 5000, 5001], 3: [2], 4: [0, 1, 2, 3]}
+    rows = [(c, t, "assistant" if i % 2 else "user", f"{c} {t}") for c, ts in turns.items() for i, t in enumerate(ts)]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1).write.parquet(path)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    want = sorted(db.execute(f"WITH {sql.SUPPORT} SELECT row_id, conv_id, turn, instruction, response FROM support").fetchall())
+    got = bindings.support_source(spark, str(tmp_path)).select("row_id", "conv_id", "turn", "instruction", "response")
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 7
