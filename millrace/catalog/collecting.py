@@ -22,11 +22,11 @@ def jsonl_scan(spark, sf_dir):
     return jsonl.read_jsonl(spark, path, DOCUMENT)
 
 
-def jsonl_glob_numbered(spark, sf_dir):
-    """One folder per domain, each written in id order; ids come back from file order."""
+def numbered_records(spark, sf_dir):
+    """One folder per domain, each written in id order; whole records come back with ids from file order."""
     root = scratch_dir(spark, "raw")
     sources = {
-        "legal": collect.collect_legal(bindings.legal_source(spark, sf_dir), None),
+        "legal": collect.collect_legal(bindings.legal_source(spark, sf_dir), None, max_chars=None),
         "medical": collect.collect_medical(bindings.medical_source(spark, sf_dir), None),
         "support": collect.collect_support(bindings.support_source(spark, sf_dir), None),
     }
@@ -34,9 +34,11 @@ def jsonl_glob_numbered(spark, sf_dir):
         ordered = df.repartitionByRange("row_id").sortWithinPartitions("row_id")
         jsonl.write_jsonl(ordered.withColumnRenamed("row_id", "source_id"), f"{root}/{name}.jsonl")
     schema = schemas.RAW_MIXED.replace("row_id", "source_id")
-    return jsonl.number_rows(jsonl.read_jsonl(spark, f"{root}/*.jsonl", schema)).select(
-        "row_id", "source_id", "domain"
-    )
+    return jsonl.number_rows(jsonl.read_jsonl(spark, f"{root}/*.jsonl", schema))
+
+
+def jsonl_glob_numbered(spark, sf_dir):
+    return numbered_records(spark, sf_dir).select("row_id", "source_id", "domain")
 
 
 def jsonl_round_trip(spark, sf_dir):

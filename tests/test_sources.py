@@ -166,3 +166,15 @@ def test_support_pairs_over_gaps_match_sql(spark, tmp_path):
     want = sorted(db.execute(f"WITH {sql.SUPPORT} SELECT row_id, conv_id, turn, instruction, response FROM support").fetchall())
     got = bindings.support_source(spark, str(tmp_path)).select("row_id", "conv_id", "turn", "instruction", "response")
     assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 7
+
+
+def test_numbered_records_hold_whole_texts(spark, tmp_path):
+    from millrace.catalog import collecting
+
+    text = "Title\n" + "long text " * 900
+    spark.createDataFrame([(1, text, "en", "s"), (2, "short", "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(5, "Ask. Answer")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = collecting.numbered_records(spark, str(tmp_path)).orderBy("row_id").collect()
+    assert [(r.source_id, r.text or r.question or r.ticket) for r in rows] == [(1, text), (2, "short"), (5, "Ask."), (1000, "q")]
+    assert [r.summary or r.answer or r.resolution for r in rows][2:] == [" Answer", "a"]
