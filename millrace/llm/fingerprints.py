@@ -82,10 +82,17 @@ def likeness(a: Sketch, b: Sketch) -> float:
     return both / (left + right - both)
 
 
-def containment(a: Sketch, b: Sketch) -> float:
-    """Estimated part of the runs of a that b has too; nothing is wholly contained."""
+def containment(a: Sketch, b: Sketch) -> float | None:
+    """Estimated part of the runs of a that b has too; nothing is wholly contained.
+
+    None where a has runs but none of their hashes lies under the common bound: the sketches do not
+    tell. Under the bound of long texts, 1/16, that is so for 56 of 100 texts of 20 characters (9
+    runs) and for fewer than 1 of 100 from 83 characters (72 runs) on.
+    """
     left, _, both = overlap(a, b)
-    return both / left if left else float(not len(a[1]))
+    if left:
+        return both / left
+    return None if len(a[1]) else 1.0
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,7 +155,8 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows are put in order of id, then text; null ids come first, a null text counts as empty and
     repeated rows are documents of their own. The last row is followed by the first. A single
-    row is its own next document. An empty table gives no rows.
+    row is its own next document. An empty table gives no rows. ``contained_*`` is null where the
+    sketches do not tell, see ``containment``.
 
     The rows are dealt by ranges of the id, once. The first text of a range is also sent to the range
     before it, where it follows the last one.

@@ -79,3 +79,16 @@ def test_merged_by_group(spark, make_docs, words):
     got = {r["g"]: r["fingerprint"] for r in fp.merged_fingerprints(df, "g").collect()}
     want = fp.merged(fp.merged(fp.sketch(texts[0]), fp.sketch(texts[1])), fp.sketch(texts[2]))
     assert got == {1: fp.written(want), None: fp.written(fp.sketch(""))}
+
+
+def test_containment_is_undecided_without_hashes_under_the_common_bound(words):
+    text = words(20_000, 1)
+    long, seen = fp.sketch(text), set()
+    for start in range(0, 4000, 20):
+        short = fp.sketch(text[start : start + 20])
+        got = fp.containment(short, long)
+        assert got == (1.0 if fp.overlap(short, long)[0] else None)
+        seen.add(got)
+    assert seen == {1.0, None} and fp.containment(fp.sketch(""), long) == 1.0
+    row = fp._compared(1, text[:20], fp.sketch(text[:20]), text, long)
+    assert row[-1] == fp.containment(fp.sketch(text[:20]), long)
