@@ -1,8 +1,8 @@
 """The steps as file-to-file jobs: JSON Lines in, JSON Lines or a report out."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from millrace.operators import dedup, drift, evaluating, formatting, quality, scrub, splitting
 from millrace.session import stage
@@ -29,6 +29,12 @@ def _with_strings(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.withColumns({n: F.lit(None).cast("string") for n in odd})
 
 
+def _as_string(rows: DataFrame, name: str) -> Column:
+    """The column as string; lists and objects as their JSON."""
+    nested = isinstance(rows.schema[name].dataType, (ArrayType, MapType, StructType))
+    return F.to_json(name) if nested else F.col(name).cast("string")
+
+
 def scrub_files(spark: SparkSession, in_glob: str, out: str, schema: str | StructType | None = None) -> None:
     """Raw files in path order; every record gets its number as ``row_id`` here, unless it has one."""
     jsonl.write_jsonl(scrub.scrub_records(records(spark, in_glob, schema)), out)
@@ -65,9 +71,15 @@ def split_files(
     seed: int = 42,
     schema: str | StructType | None = None,
 ) -> None:
-    examples = _with_strings(records(spark, inp, schema), ["domain"])
+    """The domain, read as string, is the stratum; it is written as it was read."""
+    rows = records(spark, inp, schema)
+    if "domain" not in rows.columns:
+        rows = _with_strings(rows, ["domain"])
+    kept = F.col("domain").alias("__domain")
+    examples = rows.select("*", kept).withColumn("domain", _as_string(rows, "domain"))
     split = splitting.stratified_split(stage(examples, "examples"), train_frac, val_frac, seed)
-    jsonl.write_splits(splitting.with_split_order(split, seed), out_dir, order_by="order_key")
+    ordered = splitting.with_split_order(split, seed).withColumn("domain", F.col("__domain")).drop("__domain")
+    jsonl.write_splits(ordered, out_dir, order_by="order_key")
 
 
 def report_files(

@@ -90,3 +90,11 @@ def test_values_that_are_no_strings_are_not_formatted(spark, tmp_path):
     write_lines(tmp_path / "a.jsonl", [{"domain": "support", "ticket": 5, "resolution": "done"}])
     files.format_files(spark, str(tmp_path / "a.jsonl"), str(tmp_path / "out"))
     assert spark.read.schema(schemas.EXAMPLE).json(str(tmp_path / "out")).count() == 0
+
+
+def test_split_keeps_domains_that_are_no_strings(spark, tmp_path):
+    write_lines(tmp_path / "in.jsonl", [{"row_id": i, "domain": i % 2 + 1, "input": "x"} for i in range(40)])
+    files.split_files(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "splits"))
+    for name, n in (("train", 16), ("val", 2), ("test", 2)):
+        rows = jsonl.read_split(spark, str(tmp_path / "splits"), name, "row_id long, domain long").collect()
+        assert sorted(r.domain for r in rows) == [1] * n + [2] * n and all(r.domain == r.row_id % 2 + 1 for r in rows)
