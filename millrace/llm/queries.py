@@ -8,6 +8,8 @@ from millrace.llm import (
     repeats,
     sanitising,
     secrets,
+    sharding,
+    sql,
     token_files,
     toxicity,
     url_filter,
@@ -63,6 +65,10 @@ def op10_sanitising(spark, sf_dir):
     return sanitising.find(documents(spark, sf_dir))
 
 
+def op13_sharding(spark, sf_dir):
+    return sharding.assign(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_repeats": op2_repeats,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_url_filter": op9_url_filter,
     "op10_sanitising": op10_sanitising,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES = {
@@ -113,4 +120,5 @@ j AS (SELECT p.*, k.listed, CASE
   FROM p JOIN k ON k.key = host || path)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN listed THEN 'block' ELSE 'allow' END AS verdict FROM j""",
+    **sql.ORACLES,
 }
