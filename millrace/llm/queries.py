@@ -1,8 +1,11 @@
 """The queries of this package over the test tables, and SQL where it can express them."""
 
+from pyspark.sql import functions as F
+
 from millrace.llm import (
     decontamination,
     fingerprints,
+    hard_negatives,
     mixing,
     ngram_join,
     repeats,
@@ -65,6 +68,11 @@ def op10_sanitising(spark, sf_dir):
     return sanitising.find(documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label=moved)
+
+
 def op13_sharding(spark, sf_dir):
     return sharding.assign(documents(spark, sf_dir))
 
@@ -80,6 +88,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_url_filter": op9_url_filter,
     "op10_sanitising": op10_sanitising,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_sharding": op13_sharding,
 }
 

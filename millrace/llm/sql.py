@@ -37,4 +37,19 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (x % {shards})::INTEGER AS shard
 FROM h JOIN walk USING (number) WHERE step > 0 AND x < walk.n"""
 
 
-ORACLES = {"op13_sharding": _sharding()}
+HARD_NEGATIVES = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS uid,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS parts FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, a.uid, r.vec_id AS id, r.label = a.label AS same,
+    list_dot_product(a.parts, r.parts)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND r.uid <> a.uid),
+m AS (SELECT * FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, id NULLS LAST) <= 5),
+w AS (SELECT m.anchor_id, m.id AS positive_id, m.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY m.uid, m.id ORDER BY n.score DESC, n.id NULLS LAST)::INTEGER AS rank
+  FROM m JOIN p n ON n.uid = m.uid AND NOT n.same
+    AND 50 * m.score <= 100 * n.score AND 100 * n.score <= 95 * m.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM w WHERE rank <= 3"""
+
+ORACLES = {"op12_hard_negatives": HARD_NEGATIVES, "op13_sharding": _sharding()}
