@@ -6,6 +6,7 @@ from millrace.llm import (
     decontamination,
     fingerprints,
     hard_negatives,
+    manifest,
     mixing,
     ngram_join,
     repeats,
@@ -68,6 +69,10 @@ def op10_sanitising(spark, sf_dir):
     return sanitising.find(documents(spark, sf_dir))
 
 
+def op11_manifest(spark, sf_dir):
+    return manifest.audit(documents(spark, sf_dir))
+
+
 def op12_hard_negatives(spark, sf_dir):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label=moved)
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_url_filter": op9_url_filter,
     "op10_sanitising": op10_sanitising,
+    "op11_manifest": op11_manifest,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_sharding": op13_sharding,
 }
