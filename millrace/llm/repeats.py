@@ -4,7 +4,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also begins earlier i
 index over a corpus has no place on one machine, and most of a corpus never repeats, so strings
 that may be equal are brought together first:
 
-1. In every window of ``LENGTH`` bytes the smallest hash of its ``GRAM``-byte strings is its anchor. Equal
+1. In every window of ``LENGTH`` bytes the smallest hash of its ``GRAM``-byte strings (no longer than
+   the window) is its anchor. Equal
    windows have equal anchors. Neighbouring windows with one anchor are a segment, some 40 windows
    long. Tasks send hashes only: of the anchor and of the segment's bytes; segments that a
    task has already seen are settled there and then.
@@ -51,6 +52,7 @@ class Segments:
 
     def __init__(self, data: bytes, length: int, gram: int = GRAM, seed: int = 0):
         raw = np.frombuffer(data, dtype=np.uint8)
+        gram = min(gram, length)
         n = len(raw)
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_VALUE[raw] * powers(n, _ODD), out=total[1:])
