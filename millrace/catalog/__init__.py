@@ -1,8 +1,8 @@
 """The registered queries over the test tables, and the SQL that checks them."""
 
-from millrace.catalog import cleaning, collecting, evaluation, inference, monitoring, shaping
+from millrace.catalog import cleaning, collecting, evaluation, file_jobs, inference, monitoring, shaping
 
-_PARTS = (collecting, cleaning, shaping, evaluation, inference, monitoring)
+_PARTS = (collecting, cleaning, file_jobs, shaping, evaluation, inference, monitoring)
 
 
 def all_queries() -> dict:

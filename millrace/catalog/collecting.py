@@ -38,7 +38,8 @@ def numbered_records(spark, sf_dir):
 
 
 def jsonl_glob_numbered(spark, sf_dir):
-    return numbered_records(spark, sf_dir).select("row_id", "source_id", "domain")
+    digest = F.md5(F.concat_ws("|", *sql.CONTENT)).alias("digest")
+    return numbered_records(spark, sf_dir).select("row_id", "source_id", "domain", digest)
 
 
 def jsonl_round_trip(spark, sf_dir):
@@ -108,7 +109,7 @@ ORACLES = {
     "jsonl_scan": "SELECT doc_id AS row_id, text, lang, source FROM documents",
     "jsonl_glob_numbered": f"""WITH {sql.MIXED}
 SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id,
-  row_id % 1000000000000 AS source_id, domain FROM mixed""",
+  row_id % 1000000000000 AS source_id, domain, md5(concat_ws('|', {', '.join(sql.CONTENT)})) AS digest FROM mixed""",
     "jsonl_round_trip": f"WITH {sql.MIXED} SELECT * FROM mixed",
     "usage_log_append": f"WITH {sql.SUPPORT} {_USAGE} UNION ALL {_USAGE}",
     "split_sink": f"""WITH {sql.STRATA_SPLIT}

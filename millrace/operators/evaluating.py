@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import metrics
+from millrace.functions.chat import user_message
 from millrace.functions.prose_json import braced, kind, number_at, strict_json, string_at
 from millrace.functions.text import known_domain, words
 from millrace.operators.ranking import first_rows
@@ -27,6 +28,27 @@ def pair_predictions(
     ).join(finetuned.select(row_id, F.col("output").alias("finetuned_output")), row_id)
 
 
+def pair_by_position(examples: DataFrame, base: DataFrame, finetuned: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Evaluation results from test examples and two prediction files whose rows carry their position.
+
+    ``base`` has ``base_output`` and ``finetuned`` has ``finetuned_output``. A position that only some of the
+    three have means that they do not belong together, and fails the job.
+    """
+    sides = [t.withColumn(f"__{i}", F.lit(True)) for i, t in enumerate((examples, base, finetuned))]
+    met = sides[0].join(sides[1], row_id, "full").join(sides[2], row_id, "full")
+    whole = F.col("__0") & F.col("__1") & F.col("__2")
+    uneven = F.raise_error(F.lit("the files have different numbers of lines")).cast("bigint")
+    return met.select(
+        F.when(whole, F.col(row_id)).otherwise(uneven).alias(row_id),
+        "domain",
+        "instruction",
+        user_message(F.col("instruction"), F.col("input")).alias("prompt_text"),
+        F.col("output").alias("reference"),
+        "base_output",
+        "finetuned_output",
+    )
+
+
 def with_metrics(
     df: DataFrame, outputs: dict[str, str], ref: str = "reference", stem: bool = True
 ) -> DataFrame:

@@ -1,65 +1,105 @@
-"""The steps as file-to-file jobs: JSON Lines in, JSON Lines or a report out."""
+"""The steps as file-to-file jobs: JSON Lines in, JSON Lines or a report out.
 
-from pyspark.sql import Column, DataFrame, SparkSession
+Each job returns the counts that its own write has seen, as a dict; nothing is read a second time for
+them. They are taken in the last stage, after every shuffle, so a lost executor does not make them
+count twice. Output is published as a whole when it is complete, so a job may write to the folder it reads.
+"""
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
-from millrace.operators import dedup, drift, evaluating, formatting, quality, scrub, splitting
+from millrace.functions import pii
+from millrace.operators import (
+    augmenting,
+    drift,
+    evaluating,
+    perplexity,
+    splitting,
+    variant_records,
+    voting,
+)
 from millrace.session import stage
 from millrace.sources import jsonl, schemas
+from millrace.sources.publishing import replacing
+
+SPLITS = ("train", "val", "test")
 
 
-def records(spark: SparkSession, paths: str | list[str], schema: str | StructType | None = None) -> DataFrame:
-    """Records of any shape, with every key they have.
+def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(row_id, record)``: records of any shape as VARIANT, every value with the type it has in the file.
 
-    Without a declared ``schema`` all input is read for its keys and types first; a key with
-    numbers in some records and strings in others is read as string. A malformed line fails the
-    job. Records without ``row_id`` are numbered in path and line order.
+    Records without ``row_id`` are numbered in path and line order; where some have one and others have none,
+    the job fails, as it does for a line that is not one JSON object.
     """
-    if schema is None:
-        schema = spark.read.option("mode", "FAILFAST").json(paths).schema
-    rows = jsonl.read_jsonl(spark, paths, schema)
-    return rows if "row_id" in rows.columns else jsonl.number_rows(rows)
+    lines = jsonl.read_lines(spark, paths)
+    named = lines.where(F.contains("value", F.lit('"row_id"')))
+    given = variant_records.parse_lines(named).select(variant_records.own_id(F.col("record")).alias("row_id"))
+    n_given = given.where("row_id IS NOT NULL").count()
+    if not n_given:
+        return variant_records.parse_lines(jsonl.number_rows(lines))
+    if n_given < lines.count():
+        raise ValueError("some records have a row_id and others have none")
+    parsed = variant_records.parse_lines(lines)
+    return parsed.select(variant_records.own_id(F.col("record")).alias("row_id"), "record")
 
 
-def _with_strings(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Make sure of string columns: absent ones, and those of another type, count as missing."""
-    kinds = {f.name: f.dataType for f in rows.schema.fields}
-    odd = [n for n in names if not isinstance(kinds.get(n), StringType)]
-    return rows.withColumns({n: F.lit(None).cast("string") for n in odd})
+def _counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """Counts that the job's own action takes as it runs."""
+    seen = Observation()
+    return df.observe(seen, *[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in counts.items()]), seen
 
 
-def _as_string(rows: DataFrame, name: str) -> Column:
-    """The column as string; lists and objects as their JSON."""
-    nested = isinstance(rows.schema[name].dataType, (ArrayType, MapType, StructType))
-    return F.to_json(name) if nested else F.col(name).cast("string")
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
-def scrub_files(spark: SparkSession, in_glob: str, out: str, schema: str | StructType | None = None) -> None:
-    """Raw files in path order; every record gets its number as ``row_id`` here, unless it has one."""
-    jsonl.write_jsonl(scrub.scrub_records(records(spark, in_glob, schema)), out)
+def scrub_files(spark: SparkSession, in_glob: str, out: str) -> dict:
+    """Raw files in path order; every record gets its number as ``row_id`` here, unless it has one.
 
+    Returns ``rows`` and ``masked``, the masks set per label.
+    """
+    rows = variant_records.scrub(records(spark, in_glob))
+    masks = rows.withColumns({f"n_{x}": n for x, n in variant_records.mask_counts(F.col("held"), F.col("clean")).items()})
+    seen, counts = _counted(masks, rows=_rows(), **{x: F.sum(f"n_{x}") for x in pii.LABELS})
+    jsonl.write_lines(seen.select(variant_records.as_line(F.col("clean"), F.col("row_id")).alias("value")), out)
+    found = counts.get
+    return {"rows": found["rows"], "masked": {x: found[x] for x in pii.LABELS}}
 
-def dedup_files(spark: SparkSession, inp: str, out: str, schema: str | StructType | None = None) -> None:
-    jsonl.write_jsonl(dedup.deduplicate(records(spark, inp, schema)), out)
 
+def _line() -> Column:
+    return variant_records.as_line(variant_records.entries(F.col("record")), F.col("row_id")).alias("value")
 
-def filter_files(
-    spark: SparkSession,
-    inp: str,
-    out: str,
-    min_chars: int = 30,
-    max_chars: int = 8000,
-    schema: str | StructType | None = None,
-) -> None:
-    rows = records(spark, inp, schema)
-    jsonl.write_jsonl(quality.keep_good(rows, min_chars=min_chars, max_chars=max_chars), out)
+
+def dedup_files(spark: SparkSession, inp: str, out: str) -> dict:
+    """Returns ``rows_in`` and ``rows_out``."""
+    unique = variant_records.deduplicate(records(spark, inp))
+    seen, counts = _counted(unique, rows_in=F.sum("copies"), rows_out=_rows())
+    jsonl.write_lines(seen.select(_line()), out)
+    return counts.get
 
 
-def format_files(spark: SparkSession, inp: str, out: str, schema: str | StructType | None = None) -> None:
-    """Records whose domain's columns are missing or no strings are left out."""
-    needed = [f.name for f in StructType.fromDDL(schemas.RAW_MIXED).fields if f.name != "row_id"]
-    jsonl.write_jsonl(formatting.format_records(_with_strings(records(spark, inp, schema), needed)), out)
+def filter_files(spark: SparkSession, inp: str, out: str, min_chars: int = 30, max_chars: int = 8000) -> dict:
+    """Returns ``rows_in``, ``rows_out`` and ``dropped``, the rows per reason."""
+    rows = records(spark, inp)
+    texts = rows.withColumn("texts", variant_records.contents(variant_records.entries(F.col("record"))))
+    judged = texts.withColumn("reason", variant_records.drop_reason(F.col("texts"), min_chars, max_chars))
+    reasons = ("empty", "length", "letters")
+    seen, counts = _counted(judged, rows_in=_rows(), **{r: F.count_if(F.col("reason") == r) for r in reasons})
+    jsonl.write_lines(seen.where("reason IS NULL").select(_line()), out)
+    found = counts.get
+    dropped = {r: found[r] for r in reasons}
+    return {"rows_in": found["rows_in"], "rows_out": found["rows_in"] - sum(dropped.values()), "dropped": dropped}
+
+
+def format_files(spark: SparkSession, inp: str, out: str) -> dict:
+    """Records of unknown domains, or whose texts are missing, blank or no strings, are left out.
+
+    Returns ``rows_in`` and ``rows_out``.
+    """
+    rows, counts = _counted(records(spark, inp), rows_in=_rows())
+    kept, written = _counted(variant_records.format_records(rows), rows_out=_rows())
+    jsonl.write_jsonl(kept, out)
+    return {**counts.get, **written.get}
 
 
 def split_files(
@@ -69,17 +109,18 @@ def split_files(
     train_frac: float = 0.8,
     val_frac: float = 0.1,
     seed: int = 42,
-    schema: str | StructType | None = None,
-) -> None:
-    """The domain, read as string, is the stratum; it is written as it was read."""
-    rows = records(spark, inp, schema)
-    if "domain" not in rows.columns:
-        rows = _with_strings(rows, ["domain"])
-    kept = F.col("domain").alias("__domain")
-    examples = rows.select("*", kept).withColumn("domain", _as_string(rows, "domain"))
-    split = splitting.stratified_split(stage(examples, "examples"), train_frac, val_frac, seed)
-    ordered = splitting.with_split_order(split, seed).withColumn("domain", F.col("__domain")).drop("__domain")
-    jsonl.write_splits(ordered, out_dir, order_by="order_key")
+) -> dict:
+    """The domain, whatever its type, is the stratum; records are written as they were read.
+
+    Returns the rows of each split.
+    """
+    rows = records(spark, inp).withColumn("domain", variant_records.stratum(variant_records.entries(F.col("record"))))
+    split = splitting.stratified_split(stage(rows.select("row_id", "domain", _line()), "examples"), train_frac, val_frac, seed)
+    ordered = jsonl.split_ordered(splitting.with_split_order(split, seed).select("value", "split", "order_key"), "order_key")
+    seen, counts = _counted(ordered, **{s: F.count_if(F.col("split") == s) for s in SPLITS})
+    with replacing(spark, out_dir) as new:
+        seen.write.partitionBy("split").text(new)
+    return counts.get
 
 
 def report_files(
@@ -113,3 +154,69 @@ def drift_files(
     return drift.drift_verdict(
         train, live, p_threshold=p_threshold, oov_threshold=oov_threshold
     )
+
+
+def augment_files(spark: SparkSession, train_dir: str, out: str, calls: int = 20, shots: int = 3, per_call: int = 5, seed: int = 42) -> dict:
+    """Prompts that ask a model for further rows, from the train part of a split folder only.
+
+    A line has ``call``, ``domain`` and ``prompt``. Returns ``prompts``.
+    """
+    train = jsonl.read_split(spark, train_dir, "train", schemas.EXAMPLE)
+    prompts = augmenting.synthesis_prompts(augmenting.few_shot_samples(train, calls, shots, seed), per_call)
+    seen, counts = _counted(prompts, prompts=_rows())
+    jsonl.write_jsonl(seen, out)
+    return counts.get
+
+
+def synthetic_files(spark: SparkSession, replies: str, out: str) -> dict:
+    """Model replies ``(row_id, domain, reply)`` to training rows; unsound replies and items go.
+
+    A line has domain, instruction, input and output, as train files have. Returns ``replies`` and ``rows``.
+    """
+    read, asked = _counted(jsonl.read_jsonl(spark, replies, schemas.REPLY), replies=_rows())
+    seen, counts = _counted(augmenting.synthetic_rows(read).drop("row_id", "item_no"), rows=_rows())
+    jsonl.write_jsonl(seen, out)
+    return {**asked.get, **counts.get}
+
+
+def side_files(spark: SparkSession, results: str, out: str, seed: int = 0) -> dict:
+    """What raters see: ``row_id, prompt_text, response_a, response_b``. Returns ``rows``.
+
+    Which side is the tuned one follows from seed and row id, so it need not be written.
+    """
+    sides = voting.assign_sides(jsonl.read_jsonl(spark, results, schemas.RESULT), seed)
+    seen, counts = _counted(sides.drop("finetuned_first"), rows=_rows())
+    jsonl.write_jsonl(seen, out)
+    return counts.get
+
+
+def vote_files(spark: SparkSession, votes: str, results: str, out: str, seed: int = 0) -> DataFrame:
+    """Choices ``(row_id, choice)`` of raters to winners, one line each; returns the tally per winner."""
+    sides = voting.assign_sides(jsonl.read_jsonl(spark, results, schemas.RESULT), seed)
+    jsonl.write_jsonl(voting.resolve_votes(jsonl.read_jsonl(spark, votes, schemas.VOTE), sides), out)
+    return voting.tally(jsonl.read_jsonl(spark, out, "row_id bigint, winner string"))
+
+
+def perplexity_files(spark: SparkSession, losses: str, out: str) -> DataFrame:
+    """A loss file ``(n, base_loss, finetuned_loss)``, a line per text, to one line with both perplexities."""
+    both = stage(perplexity.perplexity_pair(jsonl.read_jsonl(spark, losses, schemas.LOSS)), "perplexity")
+    jsonl.write_jsonl(both, out)
+    return both
+
+
+def pair_files(spark: SparkSession, examples: str, base: str, finetuned: str, out: str) -> dict:
+    """Test examples and two files of predictions, paired by position: line n belongs to line n.
+
+    Predictions are lines with ``output``. Files of different length fail, as position would then pair
+    the wrong lines. A line has the columns of evaluation results. Returns ``rows``.
+    """
+    text = "output string"
+    sides = {
+        name: jsonl.number_rows(jsonl.read_jsonl(spark, path, text), "row_id").withColumnRenamed("output", name)
+        for name, path in (("base_output", base), ("finetuned_output", finetuned))
+    }
+    tests = jsonl.number_rows(jsonl.read_jsonl(spark, examples, schemas.EXAMPLE.partition(", ")[2]), "row_id")
+    paired = evaluating.pair_by_position(tests, sides["base_output"], sides["finetuned_output"])
+    seen, counts = _counted(paired, rows=_rows())
+    jsonl.write_jsonl(seen, out)
+    return counts.get

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.session import broadcast_if_small, stage
+from millrace.sources.publishing import replacing
 from millrace.sources.schemas import USAGE
 
 CORRUPT = "_corrupt_record"
 
-# Block starts that may be broadcast, counted and measured first; some 60 bytes and the path each.
+# Block starts that may be broadcast, counted and measured first: a row for each task of the scan.
 BLOCKS = 2_000_000
 BLOCK_BYTES = 512_000_000
+MIN_SPLITS = "spark.sql.files.minPartitionNum"
 
 
 def read_jsonl(
@@ -38,34 +40,50 @@ def read_jsonl(
     )
 
 
+def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines of text files, folders or globs as ``value``; blank ones are left out."""
+    return spark.read.text(paths).where(F.col("value").rlike(r"\S"))
+
+
+def _pin_splits(spark: SparkSession) -> None:
+    """Keep the cut of files into tasks the same for later scans, whatever executors come and go."""
+    if spark.conf.get(MIN_SPLITS, None) is None:
+        spark.conf.set(MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
+
+
 def number_rows(df: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Give a fresh file scan consecutive ids, from 0, in path and then line order.
 
-    Every task notes where its rows sit within their file block, once, in a staged table.
-    The blocks, not the rows, are then put in order.
+    A first scan counts the rows of every file block, now; it writes no column of the rows. The
+    blocks are put in order, and their first numbers are broadcast by task, 24 bytes each. The rows
+    are then numbered in the scan that the caller's job makes, by their block's first number and their
+    place in it; no row moves or is written for it. If files were cut otherwise in that scan than in the
+    first, the job fails; the cut is pinned for the session, so that this takes a change of settings.
     """
-    block = ["file_path", "file_block_start"]
-    placed = stage(
-        df.select(
-            "*",
-            *[F.col(f"_metadata.{c}").alias(c) for c in block],
-            F.monotonically_increasing_id().alias("scan_position"),
-        ),
-        "numbered",
-    )
-    blocks = placed.groupBy(*block).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("scan_position").alias("first_position")
-    )
-    earlier = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        *block,
-        "first_position",
-        F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).alias("start"),
+    spark = df.sparkSession
+    _pin_splits(spark)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    block = [F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start", "file_block_length")]
+    mark = F.xxhash64(*block).alias("mark")
+    at = [c.alias(n) for c, n in zip(block, ("file_path", "file_block_start"), strict=False)]
+    # Both scans read a column: a scan of none would also count lines that hold no record.
+    spot = [F.spark_partition_id().alias("task"), (place + F.hash(df.columns[0]).bitwiseAND(0)).alias("place"), mark]
+    scan = df.select(*at, *spot)
+    blocks = scan.groupBy("task", "file_path", "file_block_start", "mark").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("place").alias("first")
     )
-    number = F.col("start") + F.col("scan_position") - F.col("first_position")
-    return placed.join(broadcast_if_small(starts, BLOCKS, BLOCK_BYTES), block).select(
-        number.alias(row_id), *[c for c in df.columns if c != row_id]
+    earlier = Window.orderBy("file_path", "file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n_rows").over(earlier), F.lit(0))
+    starts = stage(blocks, "blocks").select("task", "mark", (start - F.col("first")).alias("shift"))
+    by_task = broadcast_if_small(
+        starts.groupBy("task").agg(F.collect_list(F.struct("mark", "shift")).alias("blocks")), BLOCKS, BLOCK_BYTES
     )
+    kept = [F.col(f"`{c}`") for c in df.columns if c != row_id]
+    rows = df.select(*kept, *spot).join(by_task, "task", "left")
+    shift = F.get(F.filter("blocks", lambda b: b["mark"] == F.col("mark")), F.lit(0))["shift"]
+    lost = F.raise_error(F.lit("files are cut otherwise than when they were counted; number the rows again"))
+    number = F.coalesce(shift + F.col("place"), lost.cast("long"))
+    return rows.select(number.alias(row_id), *kept)
 
 
 def concat_files(
@@ -75,18 +93,31 @@ def concat_files(
     return reduce(DataFrame.unionByName, [read_jsonl(spark, p, schema) for p in paths])
 
 
-def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a folder of JSON Lines parts; null columns are left out of the line."""
-    df.write.mode(mode).json(path)
+def write_jsonl(df: DataFrame, path: str) -> None:
+    """Write a folder of JSON Lines parts; null columns are left out of the line.
+
+    Like the other sinks here it replaces old output at the end and as a whole.
+    """
+    with replacing(df.sparkSession, path) as new:
+        df.write.json(new)
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """Write a folder of text parts; ``df`` has one string column."""
+    with replacing(df.sparkSession, path) as new:
+        df.write.text(new)
+
+
+def split_ordered(df: DataFrame, order_by: str) -> DataFrame:
+    """Rows in the order in which the split sink writes them, without the key that gives it."""
+    return df.repartitionByRange("split", order_by).sortWithinPartitions("split", order_by).drop(order_by)
 
 
 def write_splits(df: DataFrame, path: str, order_by: str | None = None) -> None:
     """One sub-folder per split, so that a reader of one split opens only that one."""
-    rows = df
-    if order_by is not None:
-        rows = df.repartitionByRange("split", order_by).sortWithinPartitions("split", order_by)
-        rows = rows.drop(order_by)
-    rows.write.mode("overwrite").partitionBy("split").json(path)
+    rows = df if order_by is None else split_ordered(df, order_by)
+    with replacing(df.sparkSession, path) as new:
+        rows.write.partitionBy("split").json(new)
 
 
 def read_split(
@@ -122,4 +153,4 @@ def read_usage(spark: SparkSession, path: str) -> DataFrame:
 def write_report(lines: DataFrame, path: str) -> None:
     """Write report lines as one text file. There are a few lines per domain, not per row."""
     ordered = lines.orderBy("part", "first_row", "line_no").select(F.col("line").alias("value"))
-    ordered.coalesce(1).write.mode("overwrite").text(path)
+    write_lines(ordered.coalesce(1), path)

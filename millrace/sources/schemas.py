@@ -21,3 +21,5 @@ CHAT_REQUEST = (
 )
 VOTE = "row_id bigint, choice string"
 JUDGE_REPLIES = "row_id bigint, base_reply string, finetuned_reply string"
+REPLY = "row_id bigint, domain string, reply string"
+LOSS = "n bigint, base_loss double, finetuned_loss double"
