@@ -109,7 +109,8 @@ ORACLES = {
     "jsonl_scan": "SELECT doc_id AS row_id, text, lang, source FROM documents",
     "jsonl_glob_numbered": f"""WITH {sql.MIXED}
 SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id,
-  row_id % 1000000000000 AS source_id, domain, md5(concat_ws('|', {', '.join(sql.CONTENT)})) AS digest FROM mixed""",
+  row_id - CASE domain WHEN 'legal' THEN -low_legal WHEN 'medical' THEN n_legal - low_medical
+    ELSE n_legal + n_medical END AS source_id, domain, md5(concat_ws('|', {', '.join(sql.CONTENT)})) AS digest FROM mixed, spans""",
     "jsonl_round_trip": f"WITH {sql.MIXED} SELECT * FROM mixed",
     "usage_log_append": f"WITH {sql.SUPPORT} {_USAGE} UNION ALL {_USAGE}",
     "split_sink": f"""WITH {sql.STRATA_SPLIT}

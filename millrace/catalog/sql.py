@@ -105,11 +105,12 @@ def leading_number(hash_hex: str, digits: int) -> str:
 # Input shapes ---------------------------------------------------------------------------
 
 SUPPORT = """support AS (
-  SELECT u.conv_id * 1000 + u.turn AS row_id, u.conv_id, u.turn,
+  SELECT (u.conv_id - n.first) * n.step + u.turn - n.low AS row_id, u.conv_id, u.turn,
          u.text AS instruction, a.text AS response
   FROM (SELECT *, lead(turn) OVER w AS next_turn FROM conversations
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) u
-  JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.next_turn
+  JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.next_turn,
+  (SELECT min(conv_id) AS first, min(turn) AS low, max(turn) - min(turn) + 1 AS step FROM conversations) n
   WHERE u.role = 'user' AND a.role = 'assistant')"""
 
 LEGAL = """legal AS (
@@ -125,19 +126,23 @@ MEDICAL = """medical AS (
 MIXED = f"""{LEGAL},
 {MEDICAL},
 {SUPPORT},
+spans AS (
+  SELECT (SELECT min(doc_id) FROM documents) AS low_legal, (SELECT min(item_id) FROM benchmark) AS low_medical,
+    (SELECT max(doc_id) - min(doc_id) + 1 FROM documents) AS n_legal,
+    (SELECT max(item_id) - min(item_id) + 1 FROM benchmark) AS n_medical),
 mixed AS (
-  SELECT row_id, 'legal' AS domain, 'billsum' AS source, text, summary,
+  SELECT row_id - low_legal AS row_id, 'legal' AS domain, 'billsum' AS source, text, summary,
          NULL::VARCHAR AS question, NULL::VARCHAR AS answer,
          NULL::VARCHAR AS ticket, NULL::VARCHAR AS resolution
-  FROM legal
+  FROM legal, spans
   UNION ALL
-  SELECT row_id + 1000000000000, 'medical', 'medical_flashcards', NULL, NULL,
+  SELECT row_id - low_medical + n_legal, 'medical', 'medical_flashcards', NULL, NULL,
          question, answer, NULL, NULL
-  FROM medical
+  FROM medical, spans
   UNION ALL
-  SELECT row_id + 2000000000000, 'support', 'bitext', NULL, NULL, NULL, NULL,
+  SELECT row_id + n_legal + n_medical, 'support', 'bitext', NULL, NULL, NULL, NULL,
          instruction, response
-  FROM support)"""
+  FROM support, spans)"""
 
 CONTENT = ("answer", "question", "resolution", "summary", "text", "ticket")
 

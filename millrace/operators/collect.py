@@ -52,3 +52,20 @@ def collect_support(df: DataFrame, limit: int | None = 2000, seed: int = 42) ->
 def union_domains(*frames: DataFrame) -> DataFrame:
     """Stack the domains; a column that a domain lacks is null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def one_id_space(domains: list[tuple[DataFrame, DataFrame | None]]) -> list[DataFrame]:
+    """Shift the ids of each domain behind those of the domains before it, in order and without a clash.
+
+    Each domain comes with a table of one column that holds its ids, cheap to read, whose least and
+    greatest give the shift; the last one may have none, if its ids begin at 0. No row is moved or
+    numbered. Ids that leave the range of bigint fail the job.
+    """
+    shifted, start = [], F.lit(0).cast("bigint")
+    for frame, ids in domains:
+        low = F.lit(0) if ids is None else ids.select(F.coalesce(F.min(ids.columns[0]), F.lit(0))).scalar()
+        shifted.append(frame.withColumn("row_id", F.col("row_id") - low + start))
+        if ids is not None:
+            every = F.max(ids.columns[0]) - F.min(ids.columns[0]) + 1
+            start = start + ids.select(F.coalesce(every, F.lit(0))).scalar()
+    return shifted

@@ -1,21 +1,18 @@
 """The input shapes of the stages, derived from the test tables.
 
-Every shape covers its whole tables. Support pairs come from an equi-join with the next turn,
-which windows over pieces of conversations find, so that one very long conversation is no hot group.
+Every shape covers its whole tables.
 """
 
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.chat import user_message
-from millrace.operators import collect
+from millrace.operators import collect, conversations
 from millrace.operators.formatting import DOMAIN_SPECS
 
 SUPPORT_INSTRUCTION = {spec[0]: spec[1] for spec in DOMAIN_SPECS}["support"]
-MIXED_STEP = 10**12
-TURNS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,37 +64,9 @@ def medical_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_next_turn(turns: DataFrame) -> DataFrame:
-    """Adds ``next_turn``, the turn that follows in the conversation, whatever its number.
-
-    The window works on pieces of ``TURNS`` numbers; the last turn of a piece is followed by the
-    first one of the next piece that has any.
-    """
-    cut = turns.withColumn("piece", F.floor(F.col("turn") / TURNS))
-    inside = Window.partitionBy("conv_id", "piece").orderBy(F.col("turn").asc_nulls_last())
-    pieces = Window.partitionBy("conv_id").orderBy(F.col("piece").asc_nulls_last())
-    firsts = cut.groupBy("conv_id", "piece").agg(F.min("turn").alias("first"))
-    after = firsts.select("conv_id", "piece", F.lead("first").over(pieces).alias("after"))
-    found = cut.withColumn("follows", F.lead("turn").over(inside)).join(after, ["conv_id", "piece"])
-    return found.withColumn("next_turn", F.coalesce("follows", "after")).drop("piece", "follows", "after")
-
-
 def support_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns with the assistant turn that follows."""
-    turns = spread(table(spark, sf_dir, "conversations"))
-    asked = with_next_turn(turns).where("role = 'user'").select(
-        "conv_id", "turn", "next_turn", F.col("text").alias("instruction")
-    )
-    answered = turns.where("role = 'assistant'").select(
-        "conv_id", F.col("turn").alias("next_turn"), F.col("text").alias("response")
-    )
-    return asked.join(answered, ["conv_id", "next_turn"]).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"),
-        "conv_id",
-        "turn",
-        "instruction",
-        "response",
-    )
+    return conversations.answered(spread(table(spark, sf_dir, "conversations")))
 
 
 def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +76,8 @@ def mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         collect.collect_medical(medical_source(spark, sf_dir), None),
         collect.collect_support(support_source(spark, sf_dir), None),
     )
-    placed = [f.withColumn("row_id", F.col("row_id") + F.lit(i * MIXED_STEP)) for i, f in enumerate(frames)]
-    return collect.union_domains(*placed)
+    ids = (table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "benchmark").select("item_id"), None)
+    return collect.union_domains(*collect.one_id_space(list(zip(frames, ids, strict=True))))
 
 
 def language_strata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,6 +168,46 @@ def test_support_pairs_over_gaps_match_sql(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == want and len(want) == 7
 
 
+def test_ids_of_long_conversations_and_large_numbers_match_sql(spark, tmp_path):
+    """2,501 turns in a conversation, ids over 10**12 in every table: order kept, no id twice."""
+    import duckdb
+    from millrace.catalog import sql
+    from millrace.sources import bindings
+
+    big = 3 * 10**12
+    turns = [(c, t) for c in (big, big + 1, big + 9) for t in range(0, 2501, 1 if c != big + 1 else 700)]
+    rows = [(c, t, "assistant" if i % 2 else "user", f"{c} {t}") for i, (c, t) in enumerate(turns)]
+    at = {n: str(tmp_path / f"{n}.parquet") for n in ("conversations", "documents", "benchmark")}
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(at["conversations"])
+    docs = [(big + 5 * i, f"title {i}\nbody", "en", "s") for i in range(20)] + [(-7, "first", "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(at["documents"])
+    spark.createDataFrame([(big * 2, "Ask. Answer"), (4, "What. That")], "item_id long, text string").write.parquet(at["benchmark"])
+    db = duckdb.connect()
+    for name, path in at.items():
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/*.parquet'")
+    columns = "row_id, domain, text, summary, question, answer, ticket, resolution"
+    want = db.execute(f"WITH {sql.MIXED} SELECT {columns} FROM mixed ORDER BY row_id").fetchall()
+    got = [tuple(r) for r in bindings.mixed_raw(spark, str(tmp_path)).select(*columns.split(", ")).orderBy("row_id").collect()]
+    assert got == want and len({r[0] for r in got}) == len(got) > 2500
+    assert [r[1] for r in got] == sorted(r[1] for r in got)
+
+
+def test_one_hot_conversation_in_pieces(spark):
+    import random
+
+    from millrace.operators import conversations
+
+    rng = random.Random(2)
+    turns = [(7, t, rng.choice(["user", "assistant", "system"]), f"t{t}") for t in sorted(rng.sample(range(-40, 4000), 900))]
+    turns += [(8, t, "user" if t % 2 == 0 else "assistant", f"u{t}") for t in range(-3, 12)] + [(9, 5, "user", "alone")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.instruction, r.response, r.row_id) for r in conversations.answered(df, piece=16).collect()}
+    pairs = [(a, b) for a, b in zip(turns, turns[1:], strict=False) if a[0] == b[0] and (a[2], b[2]) == ("user", "assistant")]
+    low = min(t[1] for t in turns)
+    step = max(t[1] for t in turns) - low + 1
+    assert got == {(a[0], a[1]): (a[3], b[3], (a[0] - 7) * step + a[1] - low) for a, b in pairs}
+
+
 def test_numbered_records_hold_whole_texts(spark, tmp_path):
     from millrace.catalog import collecting
 
@@ -176,5 +216,5 @@ def test_numbered_records_hold_whole_texts(spark, tmp_path):
     spark.createDataFrame([(5, "Ask. Answer")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     rows = collecting.numbered_records(spark, str(tmp_path)).orderBy("row_id").collect()
-    assert [(r.source_id, r.text or r.question or r.ticket) for r in rows] == [(1, text), (2, "short"), (5, "Ask."), (1000, "q")]
+    assert [(r.source_id, r.text or r.question or r.ticket) for r in rows] == [(1, text), (2, "short"), (5, "Ask."), (0, "q")]
     assert [r.summary or r.answer or r.resolution for r in rows][2:] == [" Answer", "a"]
