@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import sql
 from millrace.operators import drift
-from millrace.session import stage
+from millrace.session import scratch_dir, stage
 from millrace.sources import bindings
 from millrace.streaming import usage
 
@@ -44,8 +44,9 @@ def usage_windows_stream(spark, sf_dir):
     """The events table read as a stream of usage records, all windows."""
     schema = bindings.table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    log = bindings.usage_events(bindings.table(spark, sf_dir, "events"))
-    return _shown(usage.current_windows(bindings.usage_events(events), log, _vocabulary(spark, sf_dir)))
+    store = scratch_dir(spark, "usage-store")
+    usage.follow(bindings.usage_events(events), store, _vocabulary(spark, sf_dir), once=True).awaitTermination()
+    return _shown(usage.read_windows(spark, store))
 
 
 QUERIES = {

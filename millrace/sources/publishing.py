@@ -39,3 +39,17 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
         raise OSError(f"{path} cannot be replaced; the new output is in {new.toString()}")
     if held:
         fs.delete(old, True)
+
+
+def numbered_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers N of the folders ``name=N`` in a folder; none if there is no such folder."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    found = [s.getPath().getName().partition("=") for s in fs.listStatus(at)]
+    return sorted(int(n) for key, _, n in found if key == name and n.isdigit())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)

@@ -1,17 +1,31 @@
-"""The usage log as a stream: traffic, latency and unseen words per window and domain."""
+"""The usage log as a stream: traffic, latency and unseen words per window and domain.
 
-from pyspark.sql import DataFrame, SparkSession
+Every number kept is a sum, so each micro-batch adds the totals of its own records and nothing is held
+between batches: no state grows with open windows, and a late record counts like any other. Totals lie
+in a store, a folder that belongs to one log:
+
+- ``checkpoint``: which files of the log have been read;
+- ``batches/batch=N``: totals of micro-batch N per (window, domain), replaced if the batch is run again;
+- ``merged/upto=N``: all totals up to batch N, written every ``MERGE_EVERY`` batches. Readers take the
+  newest one and the batches after it, so a batch that is run again is not counted twice.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import words
-from millrace.session import is_small, scratch_dir
+from millrace.session import broadcast_if_small
+from millrace.sources.publishing import delete, numbered_folders, replacing
 from millrace.sources.schemas import USAGE
 
-# Words (short strings and a flag) that may be broadcast; they take some 100 MB.
-BROADCAST_WORDS = 1_000_000
-# Tasks among which a stream divides one word's occurrences beyond that.
-SALTS = 8
+MERGE_EVERY = 64
+KEYS = ("window_start", "domain")
+SUMS = ("n_rows", "latency_sum", "n_latency", "n_words", "unseen_words")
+TOTALS = (
+    "window_start timestamp, domain string, n_rows bigint, latency_sum bigint, n_latency bigint, "
+    "n_words bigint, unseen_words bigint, last_at timestamp"
+)
 
 
 def usage_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -19,120 +33,118 @@ def usage_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(USAGE).option("mode", "FAILFAST").json(path)
 
 
-def _with_known(spread: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Flag the words of the vocabulary.
-
-    A vocabulary counted as small is broadcast. With a larger one, adaptive execution splits
-    the very common words of a batch. A stream has no such help, so there the vocabulary is
-    repeated per salt and one word's occurrences meet it in several tasks.
-    """
-    known = vocabulary.select("word", F.lit(True).alias("known"))
-    if is_small(vocabulary, BROADCAST_WORDS):
-        return spread.join(F.broadcast(known), "word", "left")
-    if not spread.isStreaming:
-        return spread.join(known, "word", "left")
-    salt = F.pmod(F.xxhash64("at", "pos"), F.lit(SALTS))
-    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    salted = known.withColumn("salt", every_salt)
-    return spread.withColumn("salt", salt).join(salted, ["word", "salt"], "left").drop("salt")
-
-
-def _unseen_counts(timed: DataFrame, vocabulary: DataFrame, window: str) -> DataFrame:
-    """A batch: words are counted per window and domain before they meet the vocabulary.
-
-    A word of any frequency is then one row per window and domain, and records are not
-    multiplied by their words to be counted themselves.
-    """
-    by = ["window", "domain"]
-    records = timed.groupBy(F.window("at", window).alias("window"), "domain").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.avg("latency_ms").alias("mean_latency_ms")
-    )
-    uses = (
-        timed.select(F.window("at", window).alias("window"), "domain", F.explode(words(F.col("query"))).alias("word"))
-        .groupBy(*by, "word")
-        .agg(F.count(F.lit(1)).alias("uses"))
-    )
-    counts = _with_known(uses, vocabulary).groupBy(*by).agg(
-        F.sum("uses").alias("n_words"), F.sum(F.when(F.col("known").isNull(), F.col("uses"))).alias("unseen_words")
-    )
-    start = F.col("window.start").alias("start")
-    joined = records.select(start, F.col("domain").alias("d"), *records.columns).join(
-        counts.select(start.alias("word_start"), F.col("domain").alias("word_domain"), "n_words", "unseen_words"),
-        (F.col("start") == F.col("word_start")) & F.col("d").eqNullSafe(F.col("word_domain")),
-        "left",
-    )
-    zero = F.lit(0).cast("long")
-    return joined.select(
-        "window", "domain", "n_rows", "mean_latency_ms",
-        F.coalesce("n_words", zero).alias("n_words"), F.coalesce("unseen_words", zero).alias("unseen_words"),
-    )
+def known_words(vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary ready to be joined: broadcast if its rows and bytes, counted, are few enough."""
+    return broadcast_if_small(vocabulary.select("word", F.lit(True).alias("known")))
 
 
-def windowed_usage(
-    usage: DataFrame, vocabulary: DataFrame, window: str = "1 day", watermark: str = "1 hour"
-) -> DataFrame:
-    """Per window and domain: rows, mean latency, words, unseen words and their rate.
+def window_totals(usage: DataFrame, known: DataFrame, window: str = "1 day") -> DataFrame:
+    """Sums per window and domain; records without a time do not count.
 
-    Works on a stream and on a batch alike. In a stream each record becomes one row per word; the
-    row of the first word stands for the record itself. A stream reads ``vocabulary`` again for
-    every micro-batch, so hand in a staged table, not the job that builds it.
+    Records are read once. Each gives a row for itself, without a word, and one for each of its words; equal
+    words of a window and domain are counted before they meet the vocabulary, so a word of any
+    frequency is one row there, and no key is hotter than there are windows and domains.
     """
-    timed = usage.withColumn("at", F.timestamp_seconds("timestamp"))
-    if not usage.isStreaming:
-        return _shaped(_unseen_counts(timed.where("at is not null"), vocabulary, window))
-    timed = timed.withWatermark("at", watermark)
-    spread = timed.select(
-        "at", "domain", "latency_ms", F.posexplode_outer(words(F.col("query"))).alias("pos", "word")
+    at = F.timestamp_seconds("timestamp")
+    found = F.coalesce(words(F.col("query")), F.array().cast("array<string>"))
+    timed = usage.where(F.col("timestamp").isNotNull()).select(
+        F.window(at, window)["start"].alias("window_start"), "domain", F.col("latency_ms").cast("bigint").alias("ms"),
+        at.alias("at"), F.explode(F.concat(F.array(F.lit(None).cast("string")), found)).alias("word"),
+    )
+    record = F.col("word").isNull()
+    uses = timed.groupBy(*KEYS, "word").agg(
+        F.count(F.lit(1)).alias("uses"),
+        F.sum(F.when(record, F.col("ms"))).alias("ms"),
+        F.count(F.when(record, F.col("ms"))).alias("n_ms"),
+        F.max("at").alias("at"),
     )
-    is_record = F.coalesce("pos", F.lit(0)) == 0
     unseen = F.col("word").isNotNull() & F.col("known").isNull()
-    grouped = _with_known(spread, vocabulary).groupBy(F.window("at", window), "domain").agg(
-        F.count_if(is_record).alias("n_rows"),
-        F.avg(F.when(is_record, F.col("latency_ms"))).alias("mean_latency_ms"),
-        F.count("word").alias("n_words"),
-        F.count_if(unseen).alias("unseen_words"),
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("uses"))), F.lit(0))
+
+    return uses.join(known, "word", "left").groupBy(*KEYS).agg(
+        total(F.col("word").isNull()).alias("n_rows"),
+        F.sum("ms").alias("latency_sum"),
+        F.sum("n_ms").alias("n_latency"),
+        total(F.col("word").isNotNull()).alias("n_words"),
+        total(unseen).alias("unseen_words"),
+        F.max("at").alias("last_at"),
     )
-    return _shaped(grouped)
 
 
-def _shaped(grouped: DataFrame) -> DataFrame:
-    return grouped.select(
-        F.col("window.start").alias("window_start"),
-        "domain",
+def _summed(totals: DataFrame) -> DataFrame:
+    return totals.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS], F.max("last_at").alias("last_at"))
+
+
+def _shaped(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        *KEYS,
         "n_rows",
-        "mean_latency_ms",
+        F.try_divide("latency_sum", "n_latency").alias("mean_latency_ms"),
         "n_words",
         "unseen_words",
         (F.col("unseen_words") / F.greatest("n_words", F.lit(1))).alias("oov_rate"),
     )
 
 
-def append_windows(windows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Write each window, when the watermark has passed it, to Parquet exactly once."""
-    writer = (
-        windows.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
-    return (writer.trigger(availableNow=True) if once else writer).start()
+def windowed_usage(usage: DataFrame, vocabulary: DataFrame, window: str = "1 day") -> DataFrame:
+    """Per window and domain of a batch: rows, mean latency, words, unseen words and their rate."""
+    return _shaped(window_totals(usage, known_words(vocabulary), window))
 
 
-def current_windows(
-    stream: DataFrame, log: DataFrame, vocabulary: DataFrame, window: str = "1 day", watermark: str = "1 hour"
-) -> DataFrame:
-    """Read what there is of the stream and return all windows so far, open ones included.
+def follow(
+    stream: DataFrame, store: str, vocabulary: DataFrame, window: str = "1 day", once: bool = False
+) -> StreamingQuery:
+    """Add what the stream has not yet given to the store, and go on, or ``once`` stop there.
 
-    Closed windows come from the Parquet sink; state of the stream expires with them. The open ones,
-    after the last closed window, are computed from the ``log`` itself, the batch reading of
-    the same records. Nothing is held in the driver.
+    Called again with the same store it resumes: only new files are read. Words count as unseen by the
+    vocabulary handed in when their batch is run.
     """
     spark = stream.sparkSession
-    path = scratch_dir(spark, "usage-windows")
-    closing = windowed_usage(stream, vocabulary, window, watermark)
-    append_windows(closing, path, scratch_dir(spark, "usage-stream"), once=True).awaitTermination()
-    closed = spark.read.schema(closing.schema).parquet(path)
-    last = closed.select(F.max("window_start")).scalar()
-    timed = log.withColumn("window_of", F.window(F.timestamp_seconds("timestamp"), window))
-    rest = timed.where(F.coalesce(F.col("window_of.start") > last, F.lit(True))).drop("window_of")
-    return closed.unionByName(windowed_usage(rest, vocabulary, window))
+    known = known_words(vocabulary)
+
+    def add(batch: DataFrame, number: int) -> None:
+        with replacing(spark, f"{store}/batches/batch={number}") as new:
+            window_totals(batch, known, window).write.parquet(new)
+        if (number + 1) % MERGE_EVERY == 0:
+            _merge(spark, store, number)
+
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{store}/checkpoint")
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def _parts(spark: SparkSession, store: str, upto: int | None = None) -> list[str]:
+    """Folders that together hold the totals, each batch once."""
+    merged = max((n for n in numbered_folders(spark, f"{store}/merged", "upto") if upto is None or n < upto), default=-1)
+    batches = [n for n in numbered_folders(spark, f"{store}/batches", "batch") if n > merged and (upto is None or n <= upto)]
+    head = [f"{store}/merged/upto={merged}"] if merged >= 0 else []
+    return head + [f"{store}/batches/batch={n}" for n in sorted(batches)]
+
+
+def _merge(spark: SparkSession, store: str, number: int) -> None:
+    """Write all totals up to a batch as one table. What the one before replaced goes now, so that
+    readers that listed the store before this merge still find their files.
+    """
+    before = max((n for n in numbered_folders(spark, f"{store}/merged", "upto") if n < number), default=-1)
+    totals = spark.read.schema(TOTALS).parquet(*_parts(spark, store, number))
+    with replacing(spark, f"{store}/merged/upto={number}") as new:
+        _summed(totals).write.parquet(new)
+    for kind, name in (("merged", "upto"), ("batches", "batch")):
+        for n in numbered_folders(spark, f"{store}/{kind}", name):
+            if n < before or (n == before and kind == "batches"):
+                delete(spark, f"{store}/{kind}/{name}={n}")
+
+
+def read_windows(spark: SparkSession, store: str, closed_before: str | None = None) -> DataFrame:
+    """All windows so far, open ones included.
+
+    ``closed_before``, an interval such as "25 hours" (a window's length and the lateness allowed), gives only
+    windows that began so long before the latest record.
+    """
+    parts = _parts(spark, store)
+    totals = spark.read.schema(TOTALS).parquet(*parts) if parts else spark.createDataFrame([], TOTALS)
+    if closed_before is not None:
+        latest = totals.select(F.max("last_at")).scalar()
+        totals = totals.where(F.col("window_start") <= latest - F.expr(f"INTERVAL {closed_before}"))
+    return _shaped(_summed(totals))

@@ -103,7 +103,7 @@ def log_rows(spark):
 
 def as_rows(df):
     return sorted(
-        (str(r.window_start), r.domain, r.n_rows, r.mean_latency_ms, r.n_words, r.unseen_words, r.oov_rate)
+        (str(r.window_start), str(r.domain), r.n_rows, r.mean_latency_ms, r.n_words, r.unseen_words, r.oov_rate)
         for r in df.collect()
     )
 
@@ -114,42 +114,74 @@ def vocab(spark):
     return drift.vocabulary(train)
 
 
+def run_once(spark, log, store, vocab):
+    """Rows that a call has read, and the windows after it."""
+    query = usage.follow(usage.usage_stream(spark, log), store, vocab, once=True)
+    query.awaitTermination()
+    return sum(p.numInputRows for p in query.recentProgress), as_rows(usage.read_windows(spark, store))
+
+
 def test_stream_equals_batch(spark, tmp_path, vocab):
     log = log_rows(spark)
     jsonl.append_usage(log, str(tmp_path / "log"))
     batch = as_rows(usage.windowed_usage(log, vocab))
-    stream = usage.usage_stream(spark, str(tmp_path / "log"))
-    assert as_rows(usage.current_windows(stream, log, vocab)) == batch
+    assert run_once(spark, str(tmp_path / "log"), str(tmp_path / "store"), vocab) == (len(LOG), batch)
     assert batch[1] == ("1970-01-01 00:00:00", "support", 2, 20.0, 5, 2, 0.4)
     assert batch[0] == ("1970-01-01 00:00:00", "legal", 1, 5.0, 0, 0, 0.0)
 
 
-def test_salted_join_with_a_large_vocabulary(spark, tmp_path, vocab, monkeypatch):
+def test_vocabulary_that_is_not_broadcast(spark, vocab, monkeypatch):
     log = log_rows(spark)
     expected = as_rows(usage.windowed_usage(log, vocab))
-    monkeypatch.setattr("millrace.streaming.usage.BROADCAST_WORDS", 0)
+    monkeypatch.setattr("millrace.session.BROADCAST_ROWS", 0)
     assert as_rows(usage.windowed_usage(log, vocab)) == expected
-    jsonl.append_usage(log, str(tmp_path / "log"))
-    stream = usage.usage_stream(spark, str(tmp_path / "log"))
-    assert as_rows(usage.current_windows(stream, log, vocab)) == expected
 
 
-def test_append_mode_writes_closed_windows_once(spark, tmp_path, vocab):
-    log, out, check = (str(tmp_path / x) for x in ("log", "out", "check"))
-    rows = log_rows(spark)
-    jsonl.append_usage(rows, log)
-
-    def run():
-        stream = usage.windowed_usage(usage.usage_stream(spark, log), vocab)
-        usage.append_windows(stream, out, check, once=True).awaitTermination()
-        return as_rows(spark.read.parquet(out))
-
-    batch = as_rows(usage.windowed_usage(rows, vocab))
-    assert run() == batch[:-1]
-    jsonl.append_usage(
-        spark.createDataFrame([(9.0 * DAY, "support", "x", "r", 1, None)], schemas.USAGE), log
-    )
-    assert run() == batch
+def test_a_second_call_reads_new_lines_only(spark, tmp_path, vocab, monkeypatch):
+    """Resumed from the store, merged on the way; late records count in their old window."""
+    monkeypatch.setattr(usage, "MERGE_EVERY", 3)
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    every = []
+    for call in range(8):
+        new = [(float(DAY * (call % 3) + call), "support" if call % 2 else None, f"known {call} word", "r", call, None) for _ in range(call + 1)]
+        every += new
+        jsonl.append_usage(spark.createDataFrame(new, schemas.USAGE).coalesce(1), log)
+        read, windows = run_once(spark, log, store, vocab)
+        assert read == call + 1
+        assert windows == as_rows(usage.windowed_usage(spark.createDataFrame(every, schemas.USAGE), vocab))
+    assert run_once(spark, log, store, vocab) == (0, windows)
+    kept = sorted(p.name for p in (tmp_path / "store").glob("*/*=*"))
+    assert kept == ["batch=3", "batch=4", "batch=5", "batch=6", "batch=7", "upto=2", "upto=5"]
+    closed = as_rows(usage.read_windows(spark, store, closed_before="25 hours"))
+    assert closed == [w for w in windows if w[0].startswith("1970-01-01")]
+
+
+def test_a_batch_that_is_run_again_counts_once(spark, tmp_path, vocab, monkeypatch):
+    """A stop after the totals were written, before the checkpoint knew it; and one before that."""
+    import shutil
+
+    log, store = str(tmp_path / "log"), str(tmp_path / "store")
+    jsonl.append_usage(log_rows(spark), log)
+    expected = run_once(spark, log, store, vocab)[1]
+    shutil.rmtree(tmp_path / "store" / "checkpoint" / "commits")
+    assert run_once(spark, log, store, vocab)[1] == expected
+
+    def broken(*_):
+        raise RuntimeError("stopped")
+
+    jsonl.append_usage(log_rows(spark), log)
+    with monkeypatch.context() as m:
+        m.setattr(usage, "window_totals", broken)
+        with pytest.raises(Exception):
+            run_once(spark, log, store, vocab)
+    assert as_rows(usage.read_windows(spark, store)) == expected
+    read, twice = run_once(spark, log, store, vocab)
+    assert read == len(LOG) and [r[2] for r in twice] == [2 * r[2] for r in expected]
+
+
+def test_an_empty_store_and_an_empty_log(spark, tmp_path, vocab):
+    assert as_rows(usage.read_windows(spark, str(tmp_path / "none"))) == []
+    assert as_rows(usage.windowed_usage(log_rows(spark).limit(0), vocab)) == []
 
 
 def test_support_pairs_over_gaps_match_sql(spark, tmp_path):
