@@ -5,12 +5,16 @@ the hash, which cuts a source into 4096 buckets. The bucket in which a source's
 runs out is the only one that is looked into: its sizes are summed by the next 12 bits, and so
 on until the whole hash is used. What remains is one hash bound per source, and documents under
 it are taken. Nothing is sorted but the buckets, and budgets nest: a smaller budget takes a subset.
+
+The hash is of id and text, so null and repeated ids fall apart. Rows equal in both share it; where the budget
+runs out among them, they are numbered and the first ones are taken.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stage
+from millrace.operators.numbering import with_row_numbers
 from millrace.session import broadcast_if_small
 
 WEIGHTS = (5, 2, 1)
@@ -19,18 +23,23 @@ MOST = 2
 DIGITS, LEVELS = 3, 5  # 12 bits a level, 60 bits in all
 
 
-def _hash(id_col: str) -> Column:
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10)
-    return h.cast("long")
+def _hash(id_col: str, text_col: str) -> Column:
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit("")))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
+
+
+def _words(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(text_col, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
 def sizes(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``(doc_id, source, size, h)``: words of the text and the hash of the id."""
+    """``(doc_id, source, size, h, uid)``: words of the text, the hash of id and text, a number of the row."""
     return df.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(text_col, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long").alias("size"),
-        _hash(id_col).alias("h"),
+        _words(text_col).alias("size"),
+        _hash(id_col, text_col).alias("h"),
+        F.monotonically_increasing_id().alias("uid"),
     )
 
 
@@ -66,8 +75,8 @@ def targets(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 
 
 def bounds(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """``(no, copies, bound)``: every document is taken ``copies`` times and once more up to the
-    hash ``bound``. Documents with one hash stay together; the last hash is in if half of it fits.
+    """``(no, copies, bound, left)``: every document is taken ``copies`` times and once more under the
+    hash ``bound``; of those that have this very hash, as many as ``left`` words hold.
     """
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     state = goals.select(
@@ -81,11 +90,9 @@ def bounds(rows: DataFrame, goals: DataFrame) -> DataFrame:
         split = inside.withColumn("next", F.shiftright("h", shift))
         counted = split.groupBy("no", "next").agg(F.sum("size").alias("size"))
         through = F.sum("size").over(Window.partitionBy("no").orderBy("next"))
-        # A bucket is the boundary if it is the first whose far end (or middle, at last) is too much.
-        reach = through - F.col("size") / 2 if last else through.cast("double")
+        # A bucket is the boundary if it is the first whose far end is too much.
         crossing = (
-            counted.withColumn("through", through).withColumn("reach", reach)
-            .join(state.select("no", "left"), "no").where("reach > left")
+            counted.withColumn("through", through).join(state.select("no", "left"), "no").where("through > left")
             .groupBy("no").agg(F.min(F.struct("next", (F.col("through") - F.col("size")).alias("below"))).alias("b"))
         )
         below = F.coalesce(F.col("b.below"), F.lit(0))
@@ -100,17 +107,30 @@ def bounds(rows: DataFrame, goals: DataFrame) -> DataFrame:
         if not last:
             near = split.drop("prefix").join(state.select("no", "prefix"), "no").where("next = prefix")
             inside = stage(near.select("no", "h", "size", "prefix"), "mix-bucket")
-    return state.select("no", "copies", F.col("prefix").alias("bound"))
+    return state.select("no", "copies", F.col("prefix").alias("bound"), "left")
 
 
 def _dealt(df: DataFrame, id_col: str, text_col: str, source_col: str, weights, share: float, most: int):
-    """Keyed rows ``(no, doc_id, size, source_size, target, h)``, the targets and the bounds per source."""
+    """Keyed rows ``(no, doc_id, size, source_size, target, h, uid)``, the targets and the bounds per source."""
     kept = stage(sizes(df, id_col, text_col, source_col), "mix-sizes")
     goals = stage(targets(kept, weights, share, most), "mix-targets")
     keyed = kept.join(goals, kept["source"].eqNullSafe(goals["source"])).drop("source")
     return keyed, goals, bounds(keyed.select("no", "h", "size"), goals)
 
 
+def _on_the_bound(rows: DataFrame, prefix: str = "") -> DataFrame:
+    """Adds ``extra`` to the rows whose hash is the bound: 1 while the middle of a row is in its source's budget.
+
+    They are numbered by source without a sort of all in one task; mostly there is one row per source.
+    """
+    no, uid, size, left = (F.col(f"{prefix}{c}") for c in ("no", "uid", "size", "left"))
+    numbered = with_row_numbers(rows, [no, uid], f"{prefix}n")
+    first = numbered.groupBy(no.alias(f"{prefix}of")).agg(F.min(f"{prefix}n").alias(f"{prefix}first"))
+    place = F.col(f"{prefix}n") - F.col(f"{prefix}first")
+    met = numbered.join(first, no == F.col(f"{prefix}of"))
+    return met.withColumn(f"{prefix}extra", ((place + 0.5) * size <= left).cast("int"))
+
+
 def mix(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -122,15 +142,16 @@ def mix(
 ) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)``, one row per input row.
 
-    A null or blank text has size 0 and is taken 0 words; null is a source of its own; rows with
-    one id share their hash and so their fate. A source whose texts are all empty has target 0.
-    An empty table gives no rows. Extra columns are left out.
+    A null or blank text has size 0 and is taken 0 words; null is a source of its own; null and repeated
+    ids are told apart by their texts, equal rows by their number. A source whose texts are all empty
+    has target 0. An empty table gives no rows. Extra columns are left out.
     """
     keyed, _, cuts = _dealt(df, id_col, text_col, source_col, weights, share, most)
-    times = F.col("copies") + F.when(F.col("h") < F.col("bound"), 1).otherwise(0)
-    return keyed.join(cuts, "no").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken")
-    )
+    met = keyed.join(cuts, "no")
+    apart = met.where("h <> bound").withColumn("extra", (F.col("h") < F.col("bound")).cast("int"))
+    rows = apart.unionByName(_on_the_bound(met.where("h = bound")).select(*apart.columns))
+    taken = F.col("size") * (F.col("copies") + F.col("extra"))
+    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mixed_documents(
@@ -145,17 +166,20 @@ def mixed_documents(
     """The mix itself: input rows as often as they are taken, with their own columns.
 
     Each row is repeated in place by the bound of its source, so ids may be null or repeated, as
-    in ``mix``; documents without words are not taken.
+    in ``mix``; documents without words are not taken. Only rows that have the very hash of the bound are
+    written once more, to be numbered.
     """
     _, goals, cuts = _dealt(df, id_col, text_col, source_col, weights, share, most)
-    by_source = goals.join(cuts, "no").select(
-        F.col("source").alias("__mix_source"), F.col("copies").alias("__mix_copies"), F.col("bound").alias("__mix_bound")
+    own = "__mix_"
+    by_source = goals.join(cuts, "no").select(*[F.col(c).alias(own + c) for c in ("no", "source", "copies", "bound", "left")])
+    worded = df.where(F.col(text_col).rlike("[^\\x20\\x09-\\x0D]")).withColumns(
+        {f"{own}h": _hash(id_col, text_col), f"{own}size": _words(text_col), f"{own}uid": F.monotonically_increasing_id()}
     )
-    worded = df.where(F.col(text_col).rlike("[^\\x20\\x09-\\x0D]"))
-    joined = worded.join(
-        broadcast_if_small(by_source), F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source"))
+    met = worded.join(broadcast_if_small(by_source), F.col(source_col).cast("string").eqNullSafe(F.col(f"{own}source")))
+    h, bound = F.col(f"{own}h"), F.col(f"{own}bound")
+    apart = met.where(h != bound).withColumn(f"{own}extra", (h < bound).cast("int"))
+    rows = apart.unionByName(_on_the_bound(met.where(h == bound), own).select(*apart.columns))
+    times = (F.col(f"{own}copies") + F.col(f"{own}extra")).cast("int")
+    return rows.where(times > 0).withColumn(f"{own}i", F.explode(F.sequence(F.lit(1), times))).select(
+        *[F.col(f"`{c}`") for c in df.columns]
     )
-    times = F.col("__mix_copies") + F.when(_hash(id_col) < F.col("__mix_bound"), 1).otherwise(0)
-    return joined.withColumn("__mix_n", times.cast("int")).where("__mix_n > 0").withColumn(
-        "__mix_i", F.explode(F.sequence(F.lit(1), "__mix_n"))
-    ).select(*[F.col(f"`{c}`") for c in df.columns])

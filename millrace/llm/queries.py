@@ -101,7 +101,8 @@ QUERIES = {
 ORACLES = {
     "op3_mixing": r"""WITH s AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h
+  FROM documents),
 g AS (SELECT source, sum(size)::BIGINT AS source_size FROM s GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight FROM g),
 l AS (SELECT *, 2 * source_size AS cap, row_number() OVER r AS spot,
@@ -112,12 +113,10 @@ l AS (SELECT *, 2 * source_size AS cap, row_number() OVER r AS spot,
 t AS (SELECT source, source_size,
     least(cap::DOUBLE, coalesce((SELECT arg_min(level, spot) FROM l WHERE cap >= level * weight) * weight, cap)) AS target FROM l),
 c AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS copies FROM t),
-u AS (SELECT source, h, sum(size) AS size FROM s GROUP BY source, h),
-x AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h) - size / 2 AS reach FROM u)
-SELECT s.doc_id, s.size, c.source_size, c.target,
-  s.size * (c.copies + CASE WHEN x.reach <= c.target - c.copies * c.source_size THEN 1 ELSE 0 END) AS taken
-FROM s JOIN c ON s.source IS NOT DISTINCT FROM c.source
-JOIN x ON s.source IS NOT DISTINCT FROM x.source AND s.h = x.h""",
+x AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h ROWS UNBOUNDED PRECEDING) - size / 2 AS reach FROM s)
+SELECT x.doc_id, x.size, c.source_size, c.target,
+  x.size * (c.copies + CASE WHEN x.reach <= c.target - c.copies * c.source_size THEN 1 ELSE 0 END) AS taken
+FROM x JOIN c ON x.source IS NOT DISTINCT FROM c.source""",
     "op9_url_filter": r"""WITH u AS (SELECT page_id, url,
     CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, url, coalesce(translate(regexp_extract(rest, '^[^/?#]*'),
