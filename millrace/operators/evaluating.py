@@ -1,10 +1,11 @@
 """Scoring model output against references, and base against tuned by domain."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import metrics
 from millrace.functions.chat import user_message
+from millrace.functions.decimals import fixed
 from millrace.functions.prose_json import braced, kind, number_at, strict_json, string_at
 from millrace.functions.text import known_domain, words
 from millrace.operators.ranking import first_rows
@@ -192,6 +193,11 @@ def judge_row(replies: DataFrame, judge_limit: int = 50, row_id: str = "row_id")
     )
 
 
+def _table_row(places: int) -> Column:
+    cells = [F.col("metric"), fixed(F.col("base"), places), fixed(F.col("finetuned"), places), fixed(F.col("delta"), places, True)]
+    return F.format_string("| %s | %s | %s | %s |", *cells)
+
+
 def report_lines(comparison: DataFrame, judge: DataFrame | None = None) -> DataFrame:
     """The Markdown report as ordered lines: domains as first seen, the total last.
 
@@ -201,9 +207,7 @@ def report_lines(comparison: DataFrame, judge: DataFrame | None = None) -> DataF
     table = comparison.select(
         F.col("is_total").alias("part"), first_row, "domain", "n",
         (F.col("metric_no") + 4).alias("line_no"),
-        F.format_string(
-            "| %s | %.3f | %.3f | %+.3f |", "metric", "base", "finetuned", "delta"
-        ).alias("line"),
+        _table_row(3).alias("line"),
     )
     heads = comparison.where("metric_no = 0").select(
         F.col("is_total").alias("part"), first_row, "domain", "n",
@@ -227,9 +231,7 @@ def report_lines(comparison: DataFrame, judge: DataFrame | None = None) -> DataF
             judge.select(
                 F.lit(True).alias("part"), F.lit(None).cast("long").alias("first_row"), "domain",
                 F.lit(0).cast("long").alias("n"), F.lit(4 + len(METRICS)).alias("line_no"),
-                F.format_string(
-                    "| %s | %.2f | %.2f | %+.2f |", "metric", "base", "finetuned", "delta"
-                ).alias("line"),
+                _table_row(2).alias("line"),
             )
         )
     return parts.select("part", "first_row", "line_no", "line")

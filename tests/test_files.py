@@ -55,7 +55,7 @@ def test_raw_files_to_splits_report_and_drift(spark, tmp_path):
     assert {(r.domain, r.n) for r in compared.collect()} == {("legal", 4), ("ALL", 4)}
     text = "".join(p.read_text() for p in (tmp_path / "report").glob("part-*"))
     assert "## ALL (n=4)" in text and "| exact_match | 0.000 | 1.000 | +1.000 |" in text
-    assert "| llm_judge (1-5) | 2.00 | NaN | NaN |" in text
+    assert "| llm_judge (1-5) | 2.00 | nan | +nan |" in text
 
     live = spark.createDataFrame(
         [("support", "completely unknown vocabulary", "r", 5)] * 40,
