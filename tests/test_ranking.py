@@ -161,3 +161,33 @@ def test_nothing_stays_cached(spark):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     splitting.stratified_split(rows).collect()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_large_buckets_are_counted_by_further_digits(spark, monkeypatch):
+    """16 buckets at first and 16 rows at most to sort: three rounds, and the same rows as with one."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, "a" if i % 5 else "b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id bigint, domain string")
+
+    def found():
+        keyed = ranking.keyed(df, 42)
+        profiles = ranking.group_profiles(keyed, ["domain"])
+        ranks = F.explode(F.array(*[F.lit(r) for r in (1, 2, 17, 300, 599, 600)])).alias("rank")
+        wanted = profiles.select("domain", "steps", ranks)
+        got = ranking.rows_at_ranks(keyed, wanted, ["domain"], ["row_id"])
+        return {(r["domain"], r["rank"]): r["row_id"] for r in got.collect()}, keyed, wanted
+
+    expected = found()[0]
+    for domain in "ab":
+        order = sorted((i for i, d in rows if d == domain), key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), str(i)))
+        assert {r: expected[domain, r] for r in (1, 2, 17, 300, 599, 600)} == {r: order[r - 1] for r in (1, 2, 17, 300, 599, 600)}
+    sample = sorted(r.row_id for r in ranking.seeded_sample(df.drop("domain"), 700).collect())
+    monkeypatch.setattr(ranking, "DIGITS", 1)
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 16)
+    got, keyed, wanted = found()
+    assert got == expected
+    candidates, _ = ranking.sortable_buckets(keyed, wanted, ["domain"], ["row_id"])
+    largest = candidates.groupBy("domain", ranking.BUCKET).count().agg(F.max("count")).first()[0]
+    assert 0 < largest <= 16
+    assert sorted(r.row_id for r in ranking.seeded_sample(df.drop("domain"), 700).collect()) == sample
