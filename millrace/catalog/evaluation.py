@@ -316,7 +316,7 @@ SELECT domain, is_total, n, metric, round(base, 9) AS base, round(finetuned, 9)
 {_JUDGE_MEANS}
 {REPORT_LINES}
 UNION ALL
-SELECT true, NULL, 7, printf('| llm_judge (1-5) | %.2f | %.2f | %+.2f |', base, finetuned, delta) FROM judged""",
+SELECT true, NULL, 7, printf('| {evaluating.JUDGE_LABEL} | %.2f | %.2f | %+.2f |', base, finetuned, delta) FROM judged""",
     "report_sink": f"""WITH {_SCORES}
 SELECT unnest(string_split(line, chr(10))) AS line FROM ({REPORT_LINES})""",
     "paired_predictions": f"""WITH {sql.RESULTS}
@@ -335,7 +335,7 @@ FROM results""",
 SELECT side, round(avg(score), 9) AS mean_score FROM verdicts GROUP BY side""",
     "report_judge_row": f"""WITH {_VERDICTS},
 {_JUDGE_MEANS}
-SELECT 'ALL' AS domain, 'llm_judge (1-5)' AS metric, base, finetuned, delta FROM judged""",
+SELECT 'ALL' AS domain, '{evaluating.JUDGE_LABEL}' AS metric, base, finetuned, delta FROM judged""",
     "loss_perplexity": f"""WITH {sql.SUPPORT},
 losses AS (
   SELECT len(string_split(response, ' ')) - 1 AS n, 2 + (conv_id % 7) / 7 AS lb, 1 + (turn % 5) / 5 AS lf

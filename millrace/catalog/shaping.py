@@ -208,16 +208,17 @@ def _filled(head: str, filler: int) -> str:
     return f"array_to_string(list_concat({head}, list_transform(range(pad), lambda i: {filler}::BIGINT)), ',')"
 
 
+_LANG_SPECS = ", ".join(
+    f"('{lang}', '{domain}', {sql.lit(sql.INSTRUCTIONS[domain])})"
+    for lang, domain in (("en", "legal"), ("fr", "medical"), ("de", "support"))
+)
+
 ORACLES = {
     "prepared_counts": f"""WITH {_PREPARED}
 SELECT domain, split, count(*) AS n_rows FROM split_rows GROUP BY ALL""",
     "prepared_examples": f"WITH {_PREPARED} SELECT * FROM split_rows",
-    "domain_specs": """SELECT doc_id AS row_id, domain, instruction
-FROM documents JOIN (VALUES
-  ('en', 'legal', 'Summarize the following legal text.'),
-  ('fr', 'medical', 'Answer the following medical question accurately and concisely.'),
-  ('de', 'support', 'Write a helpful, polite support reply to the customer message.')
-) AS specs(lang, domain, instruction) USING (lang)""",
+    "domain_specs": f"""SELECT doc_id AS row_id, domain, instruction
+FROM documents JOIN (VALUES {_LANG_SPECS}) AS specs(lang, domain, instruction) USING (lang)""",
     "formatted_examples": f"WITH {_FORMATTED} SELECT * FROM formatted",
     "user_messages": f"""WITH {_FORMATTED}
 SELECT row_id, CASE WHEN domain = 'medical' THEN instruction ELSE {_USER} END AS user_message

@@ -7,6 +7,9 @@ character on both sides of it; MARK goes away at the end.
 
 from string import ascii_lowercase, ascii_uppercase
 
+from millrace.operators.formatting import DOMAIN_SPECS
+
+# Character classes and the masking patterns, in RE2's terms.
 WORD = r"\pL\pN_"
 SPACE = r"\s\x0b\x1c-\x1f\x85\pZ"
 MARK = "QZQ"
@@ -186,10 +189,10 @@ def letter_ratio(columns: tuple[str, ...] = CONTENT) -> str:
     return f"({letters}::DOUBLE / greatest(length({joined}), 1))"
 
 
-FORMATTED = f"""specs(domain, instruction) AS (
-  VALUES ('legal', 'Summarize the following legal text.'),
-         ('medical', 'Answer the following medical question accurately and concisely.'),
-         ('support', 'Write a helpful, polite support reply to the customer message.')),
+INSTRUCTIONS = {spec[0]: spec[1] for spec in DOMAIN_SPECS}
+_SPECS = ", ".join(f"({lit(domain)}, {lit(text)})" for domain, text in INSTRUCTIONS.items())
+
+FORMATTED = f"""specs(domain, instruction) AS (VALUES {_SPECS}),
 formatted AS (
   SELECT row_id, domain, instruction,
          {strip('coalesce(text, question, ticket)')} AS input,
@@ -198,7 +201,7 @@ formatted AS (
   WHERE regexp_matches(coalesce(text, question, ticket), {lit(f'[^{SPACE}]')})
     AND regexp_matches(coalesce(summary, answer, resolution), {lit(f'[^{SPACE}]')}))"""
 
-SUPPORT_INSTRUCTION = "Write a helpful, polite support reply to the customer message."
+SUPPORT_INSTRUCTION = INSTRUCTIONS["support"]
 
 EXAMPLES = f"""{SUPPORT},
 examples AS (
