@@ -201,7 +201,11 @@ def find(
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **named) -> DataFrame:
-    """The rows that contain no item, with their own columns, in place."""
+    """The rows that contain no item, with their own columns, in place.
+
+    Rows are judged one by one by their text: null ids, repeated rows and further columns make no
+    difference, a null or empty text is kept. Without items, or without rows, the table comes back as it is.
+    """
     context, place = docs.sparkSession.sparkContext, docs.columns.index(text_col)
     item_col, item_text_col = named.get("item_col", "item_id"), named.get("item_text_col", "text")
     per_error = named.get("chars_per_error", CHARS_PER_ERROR)

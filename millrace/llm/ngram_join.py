@@ -399,7 +399,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     """The rows that are the first of their component, with their own columns.
 
     Rows with a null id are kept. Rows that share an id stay or go together, but of those that share
-    id and text one stays: the one with the smallest other columns.
+    id and text one stays: the one whose other columns, written as JSON, come first. Rows without n-grams
+    are linked with nothing and stay. Columns may be of any type. An empty table gives no rows.
     """
     first = join(df, id_col, text_col, **named).where("doc_id = component_id").groupBy(F.col("doc_id").alias("__first"))
     kept = stage(first.agg((F.count("*") > 1).alias("__again")), "join-kept")
@@ -411,6 +412,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
         return once
     # Combined map-side, so however many copies a row has, a task sends one.
     keys, others = (F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), [F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col)]
-    least = df.join(broadcast_if_small(again), own).groupBy(*keys).agg(F.min(F.struct(F.lit(0).alias("__same"), *others)).alias("__row"))
+    row = F.struct(F.lit(0).alias("__same"), *others)
+    least = df.join(broadcast_if_small(again), own).groupBy(*keys).agg(F.min_by(row, F.to_json(row)).alias("__row"))
     own_columns = [F.col(f"`{c}`") if c in (id_col, text_col) else F.col(f"__row.`{c}`").alias(c) for c in df.columns]
     return once.unionByName(least.select(*own_columns))

@@ -7,7 +7,8 @@ the classes' own ratio tell nothing and are left out. Logistic regression with a
 penalty is then fitted on features of the size of their ratio.
 
 Fitting uses at most ``MAX_ROWS`` labelled rows of each class, those with the smallest MD5 of
-their id; the intercept is corrected for the share of the classes among all labelled rows.
+their id; the intercept is corrected for the share of the classes among all labelled rows. Places are counted
+in tasks, and only those that tell the classes apart reach the driver, whatever the length of the texts.
 Scoring covers every row, in place.
 """
 
@@ -17,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import code_points, columns_of, mix64, rows_batch
+from millrace.llm.common import code_points, columns_of, mix64, rows_batch, stage
 
 BITS = 20
 SIZES = (3, 4, 5)
@@ -25,6 +26,8 @@ MAX_ROWS = 2000
 MIN_Z = 3.5
 STEPS, RATE, PENALTY = 200, 0.5, 1e-3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+PLACES = "label_id long, toxic int, places binary"
+COUNTS = "place int, yes long, no long"
 
 
 def features(text: str | None) -> np.ndarray:
@@ -123,14 +126,47 @@ def fit(
     def places(batches):
         for b in batches:
             rows = [(i, c, np.unique(features(t)).tobytes()) for i, t, c in zip(*columns_of(b), strict=True)]
-            yield rows_batch(rows, "label_id long, toxic int, places binary")
+            yield rows_batch(rows, PLACES)
 
-    rows = texts.join(chosen, "label_id").mapInArrow(places, "label_id long, toxic int, places binary").collect()
-    rows.sort(key=lambda r: (r["label_id"], r["toxic"], bytes(r["places"])))
-    toxic = np.array([r["toxic"] == 1 for r in rows], dtype=bool)
-    if not toxic.any() or toxic.all():
-        return Model(np.zeros(1 << BITS, np.float32), 30.0 if toxic.any() else -30.0, False)
-    return fit_rows([np.frombuffer(r["places"], np.int32) for r in rows], toxic, share[1] / (share[0] + share[1]))
+    rows = stage(texts.join(chosen, "label_id").mapInArrow(places, PLACES), "toxic-places")
+    held = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(held) < 2:
+        return Model(np.zeros(1 << BITS, np.float32), 30.0 if held.get(1) else -30.0, False)
+    telling = _telling(rows, held)
+
+    def narrowed(batches):
+        for b in batches:
+            ids, toxic, found = columns_of(b)
+            kept = [np.intersect1d(np.frombuffer(p, np.int32), telling, assume_unique=True).tobytes() for p in found]
+            yield rows_batch(list(zip(ids, toxic, kept, strict=True)), PLACES)
+
+    few = rows.mapInArrow(narrowed, PLACES).collect()
+    few.sort(key=lambda r: (r["label_id"], r["toxic"], bytes(r["places"])))
+    toxic = np.array([r["toxic"] == 1 for r in few], dtype=bool)
+    return fit_rows([np.frombuffer(r["places"], np.int32) for r in few], toxic, share[1] / (share[0] + share[1]))
+
+
+def _telling(rows: DataFrame, held: dict[int, int]) -> np.ndarray:
+    """The places that tell the classes apart, in order; at most ``2**BITS`` numbers reach the driver.
+
+    Every task counts its rows by place and class, Spark adds the counts up and leaves out the rest.
+    """
+
+    def counted(batches):
+        counts = np.zeros((2, 1 << BITS), dtype=np.int64)
+        for b in batches:
+            _, toxic, found = columns_of(b)
+            for c, p in zip(toxic, found, strict=True):
+                counts[c][np.frombuffer(p, np.int32)] += 1
+        some = np.flatnonzero(counts.sum(axis=0))
+        yield rows_batch(list(zip(some.tolist(), counts[1][some].tolist(), counts[0][some].tolist(), strict=True)), COUNTS)
+
+    sums = rows.mapInArrow(counted, COUNTS).groupBy("place").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    a, b = F.col("yes") + 1, F.col("no") + 1
+    ratio = F.log(a / (held[1] + 2)) - F.log(b / (held[0] + 2))
+    # The fit draws the line itself; a little below it nothing is lost to rounding.
+    near = F.abs(ratio) >= (MIN_Z - 1e-6) * F.sqrt(1 / a + 1 / b)
+    return np.array(sorted(r["place"] for r in sums.where(near).select("place").collect()), dtype=np.int32)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,7 +192,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that the classifier does not reject, with their own columns, in place."""
+    """The rows that the classifier does not reject, with their own columns, in place.
+
+    Rows are judged one by one by their text: null ids, repeated rows and further columns make no
+    difference, a null or blank text is judged by the intercept alone. An empty table gives no rows.
+    """
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
 
     def run(batches):
