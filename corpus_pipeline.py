@@ -8,30 +8,34 @@ from millrace.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. It learns from the labelled ones among ``docs``."""
+    """Documents that the classifier rejects go. It learns from the labelled ones among ``docs``.
+
+    A null or blank text is judged by the intercept; null ids and repeated rows are judged like others.
+    """
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked ones stays.
 
-    Sets of five-word shingles, similarity 0.8 or more.
+    Sets of five-word shingles, similarity 0.8 or more. Rows with a null id stay; of rows with one id and text
+    one stays; texts without words are copies of nothing.
     """
     return ngram_join.one_of_each(docs, words=5, percent=80)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold none."""
     return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
+    """Documents as often as the mix takes them: not at all, once or twice; those without words not at all."""
     return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files, and what they hold of each document."""
+    """Token files, and what they hold of each document: an empty one its end id, null ids first."""
     return token_files.encode(docs, tokenizer_path())
 
 
