@@ -83,6 +83,30 @@ def test_index_against_brute_force():
         assert set(zip(*(x.tolist() for x in index.repeats()), strict=True)) == want
 
 
+def test_matching_statistics():
+    """Of every place: the match with the suffix before it in order, its length and where it is."""
+    rng = random.Random(4)
+    for length in (4, 9, 100):
+        pieces = [bytes(rng.choices(b"ab\x00\xff", k=rng.randint(1, 70))) for _ in range(12)] + [b"ab" * 60, b"ab" * 80]
+        index = RunIndex(pieces, np.arange(len(pieces)), np.zeros(len(pieces), np.int64), length)
+        marked = [[*(x + len(pieces) for x in p), i] for i, p in enumerate(pieces)]
+        whole = [s for p in marked for s in p]
+        order = sorted(range(len(whole)), key=lambda i: whole[i:])
+        at = {(n, i): int(index.begins[n]) + i for n, p in enumerate(pieces) for i in range(len(p))}
+        seen = 0
+        for piece, offset, row, match, place in index.stream():
+            for n, i, r, m, q in zip(piece, offset, row, match, place, strict=True):
+                here = at[n, i]
+                assert order[r] == here
+                common = 0
+                there = order[r - 1]
+                while common < length and whole[here + common] == whole[there + common]:
+                    common += 1
+                assert m == common and (m == 0 or q == there)
+                seen += 1
+        assert seen == sum(map(len, pieces))
+
+
 def test_run_ends_and_rows():
     """The transform is compressed, and following it from the end marks spells the pieces."""
     pieces = [b"banana bandana " * 40, b"banana bandana " * 40]
