@@ -15,7 +15,7 @@ def test_dedup_ignores_case_space_and_domain_and_keeps_the_first(spark):
         [
             (3, "a", "s", "two rivers meet", None),
             (1, "a", "s", "Two  Rivers meet", None),
-            (2, "b", "t", " HELLO\x1cworld ", None),
+            (2, "b", "t", " TWO\x1cRivers\u00a0 MEET ", None),
             (4, "a", "s", "two rivers", "meet"),
             (5, "a", "s", "other", None),
         ],
