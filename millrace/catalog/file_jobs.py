@@ -1,6 +1,7 @@
 """The file jobs over records whose keys hold values of several types."""
 
 from functools import reduce
+from string import ascii_lowercase
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from millrace.plans import files
 from millrace.session import scratch_dir
 from millrace.sources import bindings, jsonl, schemas
 
+DIGITS = "0123456789" * 2 + "012345"
 PRINTED = ("answer", "chars", "note", "question", "resolution", "summary", "text", "ticket")
 
 
@@ -19,15 +21,17 @@ def _lines(mixed: DataFrame) -> DataFrame:
     """Records of the mixed table as JSON: numbers and flags among texts, and keys with a null.
 
     Some tickets are a number and some answers a flag, some legal records have the number 5 as
-    domain, all of them a count of characters, and some support records a note that is null.
+    domain, all of them a count of characters, and some support records a note that is null. Half of the
+    replies to a number are digits in place of small letters.
     """
     number = (F.col("domain") == "support") & (F.length("ticket") % 5 == 0)
     flag = (F.col("domain") == "medical") & (F.length("question") % 6 == 0)
     odd = (F.col("domain") == "legal") & (F.length("summary") % 9 == 0)
     none = F.length("resolution") % 7 == 0
+    digits = F.when(number & (F.length("resolution") % 2 == 0), F.translate("resolution", ascii_lowercase, DIGITS))
     texts = F.to_json(
         F.struct(
-            F.when(~odd, F.col("domain")).alias("domain"), "source", "text", "summary", "question", "resolution",
+            F.when(~odd, F.col("domain")).alias("domain"), "source", "text", "summary", "question", F.coalesce(digits, "resolution").alias("resolution"),
             F.when(~flag, F.col("answer")).alias("answer"), F.when(~number, F.col("ticket")).alias("ticket"),
         )
     )
@@ -106,7 +110,9 @@ _CELLS = " UNION ALL ".join(f"SELECT row_id, '{c}' AS col, {c} AS t FROM typed W
 ORACLES = {
     "file_jobs": f"""WITH {sql.MIXED},
 typed AS (
-  SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, text, summary, question, resolution,
+  SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, text, summary, question,
+    CASE WHEN length(ticket) % 5 = 0 AND length(resolution) % 2 = 0
+      THEN translate(resolution, '{ascii_lowercase}', '{DIGITS}') ELSE resolution END AS resolution,
     CASE WHEN domain = 'legal' AND length(summary) % 9 = 0 THEN '5' ELSE domain END AS domain,
     CASE WHEN domain = 'legal' AND length(summary) % 9 = 0 THEN 'BIGINT' ELSE 'STRING' END AS domain_kind,
     CASE WHEN length(question) % 6 = 0 THEN NULL ELSE answer END AS answer,
