@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.seeded import leading_number, required, seeded_hash
 from millrace.operators.numbering import with_row_numbers
-from millrace.session import broadcast_if_small, stage
+from millrace.session import broadcast_if_small, broadcast_staged, stage
 
 KEY = "shuffle_key"
 BUCKET = "shuffle_bucket"
@@ -96,7 +96,7 @@ def sortable_buckets(
     while digits < MOST_DIGITS and (spots.agg(F.max("in_bucket")).first()[0] or 0) > BUCKET_ROWS:
         digits = min(digits + DIGITS, MOST_DIGITS)
         rows, spots = _refined(rows, spots, by, digits)
-    spots = broadcast_if_small(spots.drop("in_bucket"))
+    spots = broadcast_staged(spots.drop("in_bucket"))
     return rows.join(spots.select(*by, BUCKET), [*by, BUCKET], "left_semi"), spots
 
 

@@ -43,10 +43,12 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether a table has few enough rows to broadcast; counted, not estimated."""
+def broadcast_staged(held: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a table that has been written, if its rows and bytes, counted in one small job, allow it."""
     bound = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    seen = held.limit(bound + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(held) if seen[0] <= bound and (seen[1] or 0) <= max_bytes else held
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -55,8 +57,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: in
     The table is written to the shared folder first, so it is computed once and nothing stays
     cached. Above either bound it is returned as it is and the join shuffles.
     """
-    held = stage(df, "small")
-    if not is_small(held, max_rows):
-        return held
-    written = held.select(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(held) if written <= max_bytes else held
+    return broadcast_staged(stage(df, "small"), max_rows, max_bytes)
