@@ -55,10 +55,10 @@ def _value(held, key: str):
 def file_jobs(spark, sf_dir):
     """What the files of the last two jobs hold, and the counts that all jobs return."""
     root = scratch_dir(spark, "jobs")
-    lines = _lines(bindings.mixed_raw(spark, sf_dir))
+    mixed = bindings.mixed_raw(spark, sf_dir)
     for name in ("legal", "medical", "support"):
-        ordered = lines.where(F.col("domain") == name).repartitionByRange("row_id").sortWithinPartitions("row_id")
-        jsonl.write_lines(ordered.select("value"), f"{root}/raw/{name}.jsonl")
+        ordered = mixed.where(F.col("domain") == name).repartitionByRange("row_id").sortWithinPartitions("row_id")
+        jsonl.write_lines(_lines(ordered).select("value"), f"{root}/raw/{name}.jsonl")
     at = {n: f"{root}/{n}" for n in ("cleaned", "formatted", "splits")}
     scrubbed = files.scrub_files(spark, f"{root}/raw/*.jsonl", at["cleaned"])
     unique = files.dedup_files(spark, at["cleaned"], at["cleaned"])

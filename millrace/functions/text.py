@@ -24,13 +24,17 @@ def words(text: Column) -> Column:
 
 
 def trim_space(text: Column) -> Column:
-    """Strip every kind of white space from both ends (``F.trim`` strips spaces only)."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Strip every kind of white space from both ends (``F.trim`` strips spaces only).
+
+    The first and the last character tell whether there is any; most texts are not searched.
+    """
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    return F.when(ends.rlike(f"[{SPACE}]"), F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+$", "")).otherwise(text)
 
 
 def squeeze_space(text: Column) -> Column:
-    """Turn each white-space run into one space and strip the ends."""
-    return F.trim(F.regexp_replace(text, rf"[{SPACE}]+", " "))
+    """Turn each white-space run into one space and strip the ends. Single spaces, most runs, stay as they are."""
+    return F.trim(F.regexp_replace(text, rf"[{SPACE}&&[^ ]][{SPACE}]*+| [{SPACE}]++", " "))
 
 
 def is_blank(text: Column) -> Column:
@@ -38,7 +42,7 @@ def is_blank(text: Column) -> Column:
 
 
 def letter_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(text, r"[^\p{L}]++", ""))
 
 
 def known_domain(domain: Column) -> Column:

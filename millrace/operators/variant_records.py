@@ -77,10 +77,16 @@ def scrub(rows: DataFrame) -> DataFrame:
     )
 
 
-def mask_counts(held: Column, clean: Column) -> dict[str, Column]:
-    """Per label, how many masks scrubbing has set in a record."""
-    before, after = (F.array_join(contents(m), "\n") for m in (held, clean))
-    return {x: pii.label_count(after, x) - pii.label_count(before, x) for x in pii.LABELS}
+def changed_texts(held: Column, clean: Column) -> Column:
+    """The content strings that scrubbing has changed, ``before`` and ``after``, each joined to one text."""
+    pairs = F.arrays_zip(contents(held).alias("before"), contents(clean).alias("after"))
+    changed = F.filter(pairs, lambda p: p["before"] != p["after"])
+    return F.struct(*[F.array_join(changed[n], "\n").alias(n) for n in ("before", "after")])
+
+
+def mask_counts(changed: Column) -> dict[str, Column]:
+    """Per label, how many masks scrubbing has set in a record; only its ``changed_texts`` are searched."""
+    return {x: pii.label_count(changed["after"], x) - pii.label_count(changed["before"], x) for x in pii.LABELS}
 
 
 def dedup_key(held: Column) -> Column:

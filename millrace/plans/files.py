@@ -30,17 +30,24 @@ def records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     Records without ``row_id`` are numbered in path and line order; where some have one and others have none,
     the job fails, as it does for a line that is not one JSON object.
+
+    One scan counts the lines and those that name the key. Where all do and the first has an id, the job
+    itself fails at a record without; only other mixes are parsed here.
     """
     lines = jsonl.read_lines(spark, paths)
-    named = lines.where(F.contains("value", F.lit('"row_id"')))
-    given = variant_records.parse_lines(named).select(variant_records.own_id(F.col("record")).alias("row_id"))
-    n_given = given.where("row_id IS NOT NULL").count()
-    if not n_given:
-        return variant_records.parse_lines(jsonl.number_rows(lines))
-    if n_given < lines.count():
-        raise ValueError("some records have a row_id and others have none")
-    parsed = variant_records.parse_lines(lines)
-    return parsed.select(variant_records.own_id(F.col("record")).alias("row_id"), "record")
+    named = F.contains("value", F.lit('"row_id"'))
+    n_lines, n_named = lines.agg(F.count("value"), F.count_if(named)).first()
+    own, mixed = variant_records.own_id(F.col("record")), "some records have a row_id and others have none"
+    given = variant_records.parse_lines(lines.where(named)).where(own.isNotNull())
+    first = variant_records.parse_lines(lines.limit(1)).where(own.isNotNull())
+    if not (n_named == n_lines > 0 and first.count()):
+        n_given = given.count() if n_named else 0
+        if not n_given:
+            return variant_records.parse_lines(jsonl.number_rows(lines))
+        if n_given < n_lines:
+            raise ValueError(mixed)
+    lacking = F.raise_error(F.lit(mixed)).cast("long")
+    return variant_records.parse_lines(lines).select(F.coalesce(own, lacking).alias("row_id"), "record")
 
 
 def _counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
@@ -59,7 +66,8 @@ def scrub_files(spark: SparkSession, in_glob: str, out: str) -> dict:
     Returns ``rows`` and ``masked``, the masks set per label.
     """
     rows = variant_records.scrub(records(spark, in_glob))
-    masks = rows.withColumns({f"n_{x}": n for x, n in variant_records.mask_counts(F.col("held"), F.col("clean")).items()})
+    changed = rows.withColumn("changed", variant_records.changed_texts(F.col("held"), F.col("clean")))
+    masks = changed.withColumns({f"n_{x}": n for x, n in variant_records.mask_counts(F.col("changed")).items()})
     seen, counts = _counted(masks, rows=_rows(), **{x: F.sum(f"n_{x}") for x in pii.LABELS})
     jsonl.write_lines(seen.select(variant_records.as_line(F.col("clean"), F.col("row_id")).alias("value")), out)
     found = counts.get

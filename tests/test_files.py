@@ -1,7 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from millrace.functions.text import squeeze_space, trim_space
+from millrace.operators import variant_records
 from millrace.plans import files
 from millrace.sources import jsonl, schemas
 from millrace.sources.jsonl import append_usage
@@ -250,3 +253,42 @@ def test_numbering_fails_when_files_are_cut_anew(spark, tmp_path):
             cut.select("row_id", "value").where("row_id >= 0").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_record_without_id_among_named_ones_fails(spark, tmp_path):
+    nested = {"q": "y", "about": {"row_id": 5}}
+    write_lines(tmp_path / "none.jsonl", [nested, nested])
+    assert sorted(r.row_id for r in files.records(spark, str(tmp_path / "none.jsonl")).collect()) == [0, 1]
+    for i, rows in enumerate(([{"row_id": 4, "q": "x"}, nested], [nested, {"row_id": 4, "q": "x"}])):
+        write_lines(tmp_path / f"{i}.jsonl", rows)
+        with pytest.raises(Exception):
+            files.records(spark, str(tmp_path / f"{i}.jsonl")).collect()
+
+
+def test_records_with_ids_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Looking for ids must not read every record as JSON: that was a pass of its own in each job."""
+    write_lines(tmp_path / "all.jsonl", [{"row_id": i, "q": f"text {i}"} for i in range(30)])
+    seen = spark.sparkContext.accumulator(0)
+    parse = variant_records.parse_lines
+
+    def counting(lines):
+        noted = F.udf(lambda v: seen.add(1) or v, "string").asNondeterministic()
+        return parse(lines.withColumn("value", noted("value")))
+
+    monkeypatch.setattr(files.variant_records, "parse_lines", counting)
+    assert files.records(spark, str(tmp_path / "all.jsonl")).where("row_id >= 0").count() == 30
+    assert seen.value <= 31
+
+
+def test_scrub_counts_only_new_masks(spark, tmp_path):
+    rows = [{"a": "[EMAIL] and a@b.cd", "b": "[EMAIL]", "c": 5}, {"a": "10.0.0.1 [IP_ADDRESS]", "b": None}, {"a": "plain"}]
+    write_lines(tmp_path / "in.jsonl", rows)
+    counts = files.scrub_files(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))
+    assert counts == {"rows": 3, "masked": {"EMAIL": 1, "SSN": 0, "CREDIT_CARD": 0, "PHONE": 0, "IP_ADDRESS": 1}}
+
+
+def test_space_is_squeezed_and_trimmed(evaluate):
+    texts = ["a b", " a  b ", "a\tb", "a \tb\n", " a   b\u0085", "\x1c", "", "a\n \nb c  d", "\n"]
+    squeezed = ["a b", "a b", "a b", "a b", "a b", "", "", "a b c d", ""]
+    assert evaluate(squeeze_space, *texts) == squeezed
+    assert evaluate(trim_space, *texts) == ["a b", "a  b", "a\tb", "a \tb", "a   b", "", "", "a\n \nb c  d", ""]
