@@ -11,8 +11,8 @@ that may be equal are brought together first:
    task has already seen are settled there and then.
 2. Anchors meet by hash. Segments equal to an earlier one go as a whole; anchors seen once are unique.
 3. What is left are segments that share an anchor but are not equal: the edges of repeated passages.
-   Only their bytes are fetched, and anchors decide which index they enter. The index over
-   each part tells which windows begin earlier.
+   Only their bytes are fetched, and anchors decide which index they enter. Bytes too far from the
+   anchor to be in an equal window are cut off; the index over each part tells which windows begin earlier.
 4. Windows that go are merged to byte ranges for each document.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import columns_of, mix64, partitions, powers, rows_batch, stage, utf8
-from millrace.llm.run_index import RunIndex
+from millrace.llm.run_index import RunIndex, match_lengths
 
 LENGTH = 100
 GRAM = 24
@@ -45,6 +45,15 @@ def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(now[:n], now[width - size : width - size + n])
 
 
+def gram_hashes(raw: np.ndarray, gram: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash for each run of ``gram`` bytes, and the sums and powers that give the hash of any run."""
+    n = len(raw)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_VALUE[raw] * powers(n, _ODD), out=total[1:])
+    back = powers(n, pow(_ODD, -1, 1 << 64))
+    return mix64((total[gram:] - total[:-gram]) * back[: n - gram + 1] + np.uint64(seed)), total, back
+
+
 class Segments:
     """Segments of one text: first window, number of windows, anchor, hash of the bytes, and whether
     the anchor occurs more than once inside, so that the segment may repeat itself.
@@ -53,12 +62,8 @@ class Segments:
     def __init__(self, data: bytes, length: int, gram: int = GRAM, seed: int = 0):
         raw = np.frombuffer(data, dtype=np.uint8)
         gram = min(gram, length)
-        n = len(raw)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_VALUE[raw] * powers(n, _ODD), out=total[1:])
-        back = powers(n, pow(_ODD, -1, 1 << 64))
         width = length - gram + 1
-        grams = mix64((total[gram:] - total[:-gram]) * back[: n - gram + 1] + np.uint64(seed))
+        grams, total, back = gram_hashes(raw, gram, seed)
         least = sliding(grams, width, np.minimum)
         cut = np.flatnonzero(np.concatenate(([True], np.diff(least) != 0)))
         self.start, self.count, self.anchor = cut, np.diff(np.append(cut, len(least))), least[cut]
@@ -190,6 +195,55 @@ def _pieces(length: int):
     return run
 
 
+def _reach(text: np.ndarray, group: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each string ``text[begin : begin + size]`` the longest prefix that another of its group shares."""
+    data = text.tobytes()
+    parts = [data[b : b + n] for b, n in zip(begin.tolist(), size.tolist(), strict=True)]
+    order = np.array(sorted(range(len(parts)), key=list(zip(group.tolist(), parts, strict=True)).__getitem__), dtype=np.int64)
+    a, b = order[:-1], order[1:]
+    shared = match_lengths(text, begin[a], begin[b], np.where(group[a] == group[b], np.minimum(size[a], size[b]), 0))
+    out = np.zeros(len(parts), dtype=np.int64)
+    out[a] = shared
+    out[b] = np.maximum(out[b], shared)
+    return out
+
+
+def may_match(rows: list[tuple], length: int) -> list[tuple]:
+    """Pieces, sorted by anchor, cut to the bytes that can be in a window of another piece as well.
+
+    Equal windows hold their anchor at the same place. Where no piece of an anchor holds it twice, its
+    pieces agree side by side: what is further from the anchor than the longest agreement with any
+    other piece, on that side, is in no equal window, nor is a piece left with fewer bytes than a window.
+    """
+    gram = min(GRAM, length)
+    anchor = np.array([r[0] for r in rows], dtype=np.int64)
+    size = np.array([len(r[3]) for r in rows], dtype=np.int64)
+    end = np.cumsum(size)
+    begin, owner = end - size, np.repeat(np.arange(len(rows)), size)
+    text = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
+    grams = gram_hashes(text, gram)[0]
+    hit = np.flatnonzero(grams == anchor.view(np.uint64)[owner[: len(grams)]])
+    hit = hit[hit + gram <= end[owner[hit]]]
+    times = np.bincount(owner[hit], minlength=len(rows))
+    group = np.cumsum(np.concatenate(([0], np.diff(anchor) != 0)))
+    odd = np.bincount(group, weights=times != 1)[group] > 0
+    cut = np.flatnonzero(~odd)
+    if not len(cut):
+        return rows
+    place = np.zeros(len(rows), dtype=np.int64)
+    place[owner[hit]] = hit
+    at = place[cut]
+    right = _reach(text, group[cut], at + gram, end[cut] - at - gram)
+    left = _reach(np.ascontiguousarray(text[::-1]), group[cut], len(text) - at, at - begin[cut])
+    first, last = at - left - begin[cut], at + gram + right - begin[cut]
+    out = [rows[i] for i in np.flatnonzero(odd).tolist()]
+    for i, x, y in zip(cut.tolist(), first.tolist(), last.tolist(), strict=True):
+        if y - x >= length:
+            of, key, start, piece = rows[i]
+            out.append((of, key, start + x, piece[x:y]))
+    return out
+
+
 def _indexed(length: int):
     """Pieces sorted by anchor to the windows that begin earlier.
 
@@ -199,6 +253,9 @@ def _indexed(length: int):
     result = "key long, start long, n long"
 
     def repeats(rows):
+        rows = may_match(rows, length)
+        if not rows:
+            return []
         anchor, key, start = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:3])
         index = RunIndex([r[3] for r in rows], key, start, length)
         piece, offset = index.repeats()

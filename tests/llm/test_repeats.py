@@ -121,3 +121,25 @@ def test_run_ends_and_rows():
             break
         spelled.append(symbol - 2)
     assert [bytes(int(s[i]) for s in reversed(spelled)) for i in range(2)] == pieces
+
+
+def test_pieces_are_cut_to_what_can_match(words):
+    """The index sees only bytes near enough to the anchor, and the result is the same as without the cut."""
+    length, rng = 100, random.Random(5)
+    passage = words(40, 9)
+    texts = [words(rng.randint(0, 20), i) + passage[rng.randint(0, 60) :] + words(rng.randint(0, 20), i + 50) for i in range(30)]
+    texts += ["ab" * 300, "a" * 400, words(60, 3)[:70] + passage[100:130] + words(30, 4)]
+    rows = []
+    for key, text in enumerate(texts):
+        s = repeats.Segments(text.encode(), length)
+        for anchor, start, n in zip(s.anchor.view(np.int64).tolist(), s.start.tolist(), s.count.tolist(), strict=True):
+            rows.append((anchor, key, start, text.encode()[start : start + n - 1 + length]))
+    rows.sort(key=lambda r: r[:3])
+
+    def found(pieces):
+        index = RunIndex([p[3] for p in pieces], *(np.array([p[i] for p in pieces]) for i in (1, 2)), length)
+        return {(pieces[i][1], pieces[i][2] + at) for i, at in zip(*(x.tolist() for x in index.repeats()), strict=True)}
+
+    cut = repeats.may_match(rows, length)
+    assert found(cut) == found(rows) and found(rows)
+    assert sum(len(r[3]) for r in cut) < sum(len(r[3]) for r in rows) * 7 // 10
