@@ -4,6 +4,9 @@ import pyarrow as pa
 
 from millrace.functions.stem import stem_word
 
+# Rows of a batch whose tokens are Python objects at one time.
+ROWS = 128
+
 
 def lcs_length(left: list[str], right: list[str]) -> int:
     """Bit-parallel LCS: bit i of ``row`` is 0 where the best length grows at left[i]."""
@@ -22,7 +25,10 @@ def lcs_length(left: list[str], right: list[str]) -> int:
 
 
 def lcs_lengths(left: pa.Array, right: pa.Array, stemmed: bool) -> pa.Array:
-    """One length per pair of token lists in an Arrow batch; each distinct word is stemmed once."""
+    """One length per pair of token lists in an Arrow batch; each distinct word is stemmed once.
+
+    A batch may hold thousands of rows, so its tokens become Python objects a few rows at a time.
+    """
     stems: dict[str, str] = {}
 
     def prepared(tokens: list[str] | None) -> list[str]:
@@ -33,5 +39,8 @@ def lcs_lengths(left: pa.Array, right: pa.Array, stemmed: bool) -> pa.Array:
                 stems[token] = stem_word(token)
         return [stems[token] for token in tokens]
 
-    pairs = zip(left.to_pylist(), right.to_pylist())
-    return pa.array([lcs_length(prepared(a), prepared(b)) for a, b in pairs], pa.int32())
+    lengths = []
+    for at in range(0, len(left), ROWS):
+        pairs = zip(left.slice(at, ROWS).to_pylist(), right.slice(at, ROWS).to_pylist())
+        lengths += [lcs_length(prepared(a), prepared(b)) for a, b in pairs]
+    return pa.array(lengths, pa.int32())

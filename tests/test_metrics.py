@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from millrace.functions import metrics
-from millrace.functions.lcs import lcs_length
+from millrace.functions.lcs import lcs_length, lcs_lengths
 from millrace.functions.stem import stem_word
 from millrace.functions.text import words
 from millrace.operators import evaluating
@@ -171,3 +173,13 @@ def test_text_with_twenty_thousand_words(evaluate):
     long_text = " ".join(rng.choices([f"w{i}" for i in range(500)], k=20000))
     assert evaluate(rouge, (long_text, long_text)) == 1.0
     assert evaluate(f1, (long_text, long_text)) == 1.0
+
+
+def test_lcs_memory_does_not_follow_the_batch():
+    rows = [[f"word{i}" for i in range(200)]] * 4000
+    batch = pa.array(rows, pa.list_(pa.string()))
+    tracemalloc.start()
+    found = lcs_lengths(batch, batch, stemmed=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == [200] * 4000 and peak < 30_000_000
