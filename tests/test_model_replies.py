@@ -1,7 +1,9 @@
 import json
 import math
 import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +195,40 @@ def test_bigram_losses_against_brute_force(spark, max_length):
         )
         assert found[side] == pytest.approx(loss / len(held))
         assert found.n == len(held)
+
+
+def test_bigram_losses_write_only_counts_that_are_used(spark, monkeypatch):
+    written, stage = [], perplexity.stage
+    monkeypatch.setattr(perplexity, "stage", lambda df, name: written.append(stage(df, name)) or written[-1])
+    letters = "abcdefgh"
+    rows = [(f"{v} {w}", True, None, False) for v in letters for w in letters]
+    rows += [("a b", False, False, True), ("never counted", False, None, None)]
+    rows += [(t, True, True, True) for t in (None, "", " .")]
+    df = spark.createDataFrame(rows, "text string, in_base boolean, in_finetuned boolean, held_out boolean")
+    found = perplexity.bigram_losses(df).first()
+    # Of 72 bigrams, two are held out; the words, one of them with START, are contexts and vocabulary.
+    assert written[0].count() == 2 + len(letters) + 1
+    base = math.log((64 + 4) / (8 + 0.5)) + math.log((8 + 4) / (1 + 0.5))
+    assert (found.n, found.base_loss) == (2, pytest.approx(base / 2))
+    assert found.finetuned_loss == pytest.approx(math.log(4 / 0.5))
+
+
+def test_bigram_counts_of_a_task_do_not_depend_on_chunks(monkeypatch):
+    texts = ["the cat sat on the mat", "", "the cat", None, "é ß 北京 the the the", "mat"] * 7
+    kinds = [1, 3, 4, 1, 5, 7, 2] * 6
+    arrow = pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.int32()), "words": pa.array(texts)})
+    expected = Counter()
+    for text, kind in zip(texts, kinds, strict=True):
+        tokens = (text or "").split()
+        flags = [kind >> i & 1 for i in range(3)]
+        for v, w in zip(["<s>", *tokens], tokens):
+            for key, counts in ((f"{v} {w}", [*flags, 0]), (v, [*flags, 0]), (w, [0, 0, 0, flags[0]])):
+                expected.update({(key, i): n for i, n in enumerate(counts) if n})
+    for chunk, split, size in ((1, 1, 1), (5, 2, 6), (1000, 4, 42), (1000, 128, 42)):
+        monkeypatch.setattr(perplexity, "CHUNK_WORDS", chunk)
+        monkeypatch.setattr(perplexity, "SPLIT_ROWS", split)
+        found = Counter()
+        for batch in perplexity._counted(arrow.slice(i, size) for i in range(0, len(texts), size)):
+            for key, *counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                found.update({(key, i): n for i, n in enumerate(counts) if n})
+        assert found == expected
